@@ -32,9 +32,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
     """Bound what one Arrow batch holds, so whole long texts fit a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def whole_text(column: str = "text"):

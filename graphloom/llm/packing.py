@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, capacity: int, unit: int, vocabulary: str, end_id: i
         made: dict[int, int] = {}
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):

@@ -47,7 +47,7 @@ def write_flat(docs: DataFrame, folder: str, vocabulary: str = DEFAULT_VOCABULAR
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}", compression=None)
-            out.write(b"".join([x + end for x in enc.encode(batch.column(1).to_pylist())]))
+            out.write(b"".join([x + end for x in enc.encode(batch.column(1))]))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(at, at + n), pa.int64()), batch.column(0)], ["file", "at", "doc_id"])
             at += n

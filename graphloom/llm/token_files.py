@@ -131,7 +131,7 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str = DEFAULT_VOCABULA
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}", compression=None)
                 writer = FrameWriter(out, level)
-            for doc_id, body in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist())):
+            for doc_id, body in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
                 writer.add(body + end)
                 total += len(body) // 4 + 1
                 ids.append(doc_id or 0)
