@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, capacity: int, unit: int, vocabulary: str, end_id: i
     that task had made before: with the class counts of each task, ranks follow
     without sorting or gathering a class.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 2048)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, enc, end = TaskContext.get().partitionId(), encoder(vocabulary), struct.pack("<I", end_id)

@@ -111,7 +111,7 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str = DEFAULT_VOCABULA
     Ranges are cut on (doc_id, a hash of the text), so a run of null or repeated ids
     is spread over partitions like any other.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 2048)
     ranged = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
         .withColumn("tie", F.xxhash64("text"))

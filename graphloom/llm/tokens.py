@@ -51,7 +51,7 @@ class Encoder:
     young one is full it becomes the old one, from which used pieces come back.
     """
 
-    def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4", memo_entries: int = 350_000):
+    def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4", memo_entries: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
