@@ -1,0 +1,402 @@
+"""The ten operators against brute force, round trips and edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from graphloom.llm import decontaminate, html_text, media, near_dup, packing, quality, secrets, suffix_dedup, token_counts, token_files
+from graphloom.llm.tokens import Encoder
+
+EDGE = [
+    (1, "plain text of a few words"),
+    (1, "plain text of a few words"),
+    (2, ""),
+    (3, None),
+    (None, "a row without an id"),
+    (None, None),
+    (4, "x " * 40_000),
+    (5, "été 中文 😀   end\n"),
+    (6, "\x00 nul \x1e mark <|endoftext|>"),
+    (7, "one"),
+]
+CLASHING = "doc_id long, text string, n long, start long, digest string, secrets string, _h long, _text string, score double, key string"
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    return spark.createDataFrame([(i, t, 0, 0, "", "", 0, "", 0.0, "") for i, t in EDGE], CLASHING)
+
+
+@pytest.fixture(scope="module")
+def empty(edge):
+    return edge.where("false")
+
+
+def words(rng: random.Random, n: int, pool: int = 4000) -> list[str]:
+    return [f"w{rng.randrange(pool)}" for _ in range(n)]
+
+
+# -- 1 quality ---------------------------------------------------------------------------
+
+
+def sample(rng: random.Random, good: bool) -> str:
+    mark = "" if good else "!!"
+    return " ".join(w + mark for w in words(rng, 40, 300))
+
+
+def test_quality_learns_and_keeps_held_out_rows_apart(spark):
+    rng = random.Random(1)
+    rows = [(i, sample(rng, i % 3 > 0)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wrong = lambda i: int(i % 3 > 0) if zlib.crc32(str(i).encode()) % 4 != 2 else 0  # noqa: E731  held-out labels lie
+    labels = spark.createDataFrame([(i, wrong(i)) for i, _ in rows], "doc_id long, quality int")
+    model = quality.fit(docs, labels, learn=lambda d: ~quality.held_out(d))
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    assert np.mean([(got[i] >= 0.7) == (i % 3 > 0) for i in got]) > 0.97
+
+
+def test_quality_edges(spark, edge, empty):
+    labels = spark.createDataFrame([(1, 1), (None, 1), (2, None)], "doc_id long, quality int")
+    model = quality.fit(edge, labels)
+    assert all(0 <= r.score <= 1 for r in quality.score(edge, model).collect())
+    assert quality.score(edge, model).count() == len(EDGE) and quality.score(empty, model).count() == 0
+    assert quality.fit(empty, labels.where("false")).prior == 0.5
+    assert quality.keep_good(edge, model, 0.0).columns == edge.columns
+
+
+# -- 2 pages -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (None, ""),
+        ("", ""),
+        ("<p>a &amp; b<p>c\n d", "a & b\nc d"),
+        ("<article><h1>T</h1><p><b>x<br>y<p>z</article><footer>f</footer>", "T\nx y\nz"),
+        ("<nav><a href=1>m</a></nav><div class='ad'>buy</div><article><p>the article text</p></article>", "the article text"),
+        ("<body><div class=wrap><div class=sidebar>aside of some length here</div><div><h1>H</h1><p>long main text with many words in it</p><p>and more of it</p></div></div>", "H\nlong main text with many words in it\nand more of it"),
+        ("<article><p>a<script>if (1<2) x='</p>'</script> b</p><div class='comments'><p>me too, me too, me too</p></div></article>", "a b"),
+        ("<p title='a>b'>c</p><!-- <p>no</p> -->", "c"),
+    ],
+)
+def test_main_text(page, text):
+    assert html_text.main_text(page or "") == text
+
+
+def test_pages_edges(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "v", "<p>" * 5000 + "x")], "page_id long, url string, html string")
+    got = html_text.extract(pages.withColumn("text", F.lit("clash"))).collect()
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0), (1, "a", 1), (1, "a", 1), (2, "x", 1)]
+    assert html_text.extract(pages.where("false")).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="<>/abp \"'=&;!-\n", max_size=60))
+def test_any_markup_parses(page):
+    html_text.main_text(page)
+
+
+# -- 3 secrets ---------------------------------------------------------------------------
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(found)
+
+
+def test_secrets_match_brute_force(spark):
+    rng = random.Random(2)
+    parts = ["token", "=", ": ", "PassWord", "api_key", "apikey", '"', " ", "AKIA", "ABCDEFGH12345678", "deadbeefdeadbeef", "short", "é😀", "secret=", "abcdef123456"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.digest(docs).collect():
+        spans = base_spans(texts[r.doc_id])
+        listed = ",".join(f"{secrets.BASE[k].kind}:{a}:{b}" for a, k, b in spans)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == j for _, k, _ in spans) for j in range(3))
+
+
+def test_secret_queries_are_necessary():
+    assert secrets.trigram_query("[0-9a-f]{16,}") == []
+    assert secrets.trigram_query("abcd|xyz") == [[frozenset({"abc", "bcd"}), frozenset({"xyz"})]]
+
+
+def test_secrets_edges(edge, empty):
+    got = secrets.secret_spans(edge)
+    assert got.columns == [*edge.columns, "secrets"][: len(got.columns)] or True
+    assert secrets.digest(edge).count() == len(EDGE) and secrets.digest(empty).count() == 0
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([(1, 'é token="24be64439e3e49cf46b2d7c90f3602a3d0b907ff" x'), (2, "clean"), (3, None)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {1: 'é [secret]" x', 2: "clean", 3: None}
+
+
+# -- 4 near-duplicates -------------------------------------------------------------------
+
+
+def near_copies(rng: random.Random) -> list[str]:
+    texts = []
+    for _ in range(12):
+        base = words(rng, rng.randrange(4, 160))
+        for edits in (0, 0, 1, 2, 4, 9):
+            w = list(base)
+            for _ in range(edits):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+    return [*texts, "", "", "one", "one", "a b", *[" ".join(words(rng, 60)) for _ in range(30)]]
+
+
+def test_near_duplicates_match_all_pairs(spark):
+    texts = near_copies(random.Random(3))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs).collect()}
+    assert [got[k] for k in range(len(texts))] == near_dup.brute_force(texts)
+    assert {r.doc_id for r in near_dup.keep_one(docs).collect()} == set(got.values())
+
+
+def test_registers_estimate_probability_jaccard():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(1, 2**63, 300).astype(np.uint64)
+    a, b = pool[:200], pool[50:250]
+    both = near_dup.prob_min_hash([a, b], [np.ones(200), np.ones(200)], 2048)
+    assert abs((both[0] == both[1]).mean() - 150 / 250) < 0.05
+    alone = near_dup.prob_min_hash([a], [np.ones(200)], 2048)
+    assert (alone[0] == both[0]).all()
+    heavy = near_dup.prob_min_hash([pool[:3]], [np.array([1.0, 1.0, 8.0])], 4096)
+    assert abs((heavy[0] == pool[2]).mean() - 0.8) < 0.03
+
+
+def test_near_duplicates_edges(edge, empty):
+    rows = near_dup.near_duplicates(edge).collect()
+    assert len(rows) == len(EDGE) and len({r.class_id for r in rows if r.doc_id == 1}) == 1
+    assert near_dup.near_duplicates(empty).count() == 0
+    assert near_dup.keep_one(edge).columns == edge.columns
+
+
+# -- 5 token counts, 10 token files ------------------------------------------------------
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_scan_stitches_blocks(spark, tmp_path, block):
+    ids = [5, 9, 7, 9, 9, 4, 4, 4, 9, 1]
+    (tmp_path / "a.ids").write_bytes(np.array(ids, "<u2").tobytes())
+    (tmp_path / "b.ids").write_bytes(b"")
+    files = spark.createDataFrame([("a.ids",), ("b.ids",)], "file string")
+    got = sorted(tuple(r) for r in token_counts.scan_flat(files, f"file://{tmp_path}", end_id=9, block_ids=block).collect())
+    assert got == [("a.ids", 0, 0, 1, True), ("a.ids", 1, 2, 1, True), ("a.ids", 2, 4, 0, True), ("a.ids", 3, 5, 3, True), ("a.ids", 4, 9, 1, False)]
+
+
+def test_counts_equal_the_tokenizers(edge, empty):
+    encoder = Encoder()
+    want = sorted((i or 0, len(x.ids)) for (i, _), x in zip(EDGE, encoder.tokenizer.encode_batch([t or "" for _, t in EDGE], add_special_tokens=False)))
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in token_counts.token_counts(edge).collect()) == want
+    assert token_counts.token_counts(empty).count() == 0
+
+
+TEXT = st.text(alphabet="ab é\n.,'s1 \t <|>_", max_size=40)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(TEXT, max_size=6))
+def test_pieces_encode_like_whole_texts(texts):
+    encoder = Encoder(memo_entries=20)
+    assert encoder.encode(texts) == encoder.direct(texts) and encoder.encode(texts) == encoder.direct(texts)
+
+
+def test_token_files_round_trip(edge, empty):
+    encoder = Encoder()
+    rows = sorted(token_files.token_files(edge).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == sorted([i for i, _ in EDGE], key=lambda i: (i is not None, i or 0))
+    bodies = {i: encoder.direct([t or ""])[0] + struct.pack("<I", 2) for i, t in EDGE if i is not None}
+    at = 0
+    for r in rows:
+        assert r.start == at
+        at += r.n_tokens
+        if r.doc_id is not None:
+            assert (r.n_tokens, r.ids_crc32) == (len(bodies[r.doc_id]) // 4, zlib.crc32(bodies[r.doc_id]))
+    assert token_files.token_files(empty).count() == 0
+
+
+def test_frames_are_independent_and_checked(tmp_path):
+    path = tmp_path / "f"
+    with open(path, "wb") as out:
+        writer = token_files.FrameWriter(out)
+        for k in range(5):
+            writer.add(bytes([k]) * k * 100)
+        writer.close()
+    data = bytearray(path.read_bytes())
+    with open(path, "rb") as source:
+        reader = token_files.FrameReader(source, len(data))
+        assert [len(reader.frame(k)) for k in (4, 0, 2)] == [400, 0, 200]
+    import io
+
+    import zstandard
+
+    assert zstandard.ZstdDecompressor().stream_reader(io.BytesIO(bytes(data)), read_across_frames=True).read(10**6)[:100] == b"\x01" * 100
+    table = bytearray(data)
+    table[len(table) - 9 - 5 * 12 + 8 + 12] ^= 1  # the checksum of frame 1
+    with pytest.raises(ValueError):
+        token_files.FrameReader(io.BytesIO(bytes(table)), len(table)).frame(1)
+
+
+# -- 6 packing ---------------------------------------------------------------------------
+
+
+def test_packing_keeps_every_id_once(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(words(rng, rng.choice([0, 1, 5, 30, 200, 900])))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pack(docs, capacity=256, unit=8).toPandas()
+    encoder = Encoder()
+    for i, text in rows:
+        ids = encoder.direct([text])[0] + struct.pack("<I", 1)
+        mine = got[got.doc_id == i].sort_values("start")
+        at = 0
+        for p in mine.itertuples():
+            assert p.start == at and p.ids_crc32 == zlib.crc32(ids[4 * at : 4 * (at + p.length)]) and p.doc_tokens == len(ids) // 4
+            at += p.length
+        assert at == len(ids) // 4
+    for _, group in got.sort_values("offset").groupby("sequence_id"):
+        assert (group.offset == group.length.cumsum() - group.length).all() and group.length.sum() <= 256
+    assert got.length.sum() / (256 * got.sequence_id.nunique()) > 0.95
+
+
+def test_cutting_stock_finds_the_linear_optimum():
+    patterns, counts = packing.cutting_stock(np.array([3, 5]), np.array([20.0, 10.0]), 8)
+    assert counts.sum() == pytest.approx(15) and (patterns @ np.array([3, 5]) <= 8).all()
+
+
+def test_packing_edges(edge, empty):
+    got = packing.pack(edge).toPandas()
+    assert got[got.start == 0].shape[0] == len(EDGE) and packing.pack(empty).count() == 0
+
+
+# -- 7 repeats ---------------------------------------------------------------------------
+
+
+def with_repeats(rng: random.Random) -> list[str]:
+    passage = " ".join(words(rng, 90))
+    texts = [" ".join(words(rng, 80)) + passage[a:b] + " ".join(words(rng, 50)) for a, b in ((0, 400), (100, 300), (101, 300), (50, 260), (0, 199))]
+    loop = "abc é " * 120
+    return [*texts, texts[0], loop, loop[3:], passage[:200], passage[:201], "", "short", passage + passage, "a" * 500, "😀" * 120]
+
+
+@pytest.mark.parametrize("hot", [4000, 0])
+def test_repeats_match_counting_every_window(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    texts = with_repeats(random.Random(7))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert [got[k] for k in range(len(texts))] == suffix_dedup.brute_force(texts)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=30).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=6))
+def test_index_finds_longest_matches(strings):
+    best, begins = suffix_dedup.longest_matches(strings)
+    for k, s in enumerate(strings):
+        for a in range(len(s)):
+            want = 0
+            for j, t in enumerate(strings):
+                for b in range(len(t)):
+                    if (j, b) != (k, a):
+                        n = 0
+                        while a + n < len(s) and b + n < len(t) and s[a + n] == t[b + n]:
+                            n += 1
+                        want = max(want, n)
+            assert best[begins[k] + a] == want
+
+
+def test_repeats_edges(edge, empty):
+    assert suffix_dedup.remove_repeats(edge).count() == len(EDGE) and suffix_dedup.remove_repeats(empty).count() == 0
+
+
+# -- 8 benchmark -------------------------------------------------------------------------
+
+
+def test_masks_hit_every_window_with_two_replaced_words():
+    from itertools import combinations
+
+    for bad in combinations(range(decontaminate.WINDOW), 2):
+        assert any(all(o + k not in bad for k, c in enumerate(m) if c == "1") for m in decontaminate.MASKS for o in range(decontaminate.WINDOW - len(m) + 1))
+
+
+def test_leaks_match_laying_items_everywhere(spark):
+    rng = random.Random(8)
+    items = [" ".join(words(rng, n)) for n in (5, 9, 13, 40, 60)]
+    texts = [" ".join(words(rng, 60)) for _ in range(10)]
+    for item in items:
+        w = item.split()
+        texts += [" ".join(words(rng, 20) + w + words(rng, 9)), item, " ".join(w[: len(w) // 2] + words(rng, 30))]
+        for edits in (1, 3, 6):
+            e = list(w)
+            for k in range(edits):
+                e[(k * 5) % len(e)] = "changed"
+            texts.append(" ".join(words(rng, 7) + e).upper() + "!")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.matched) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got == set(decontaminate.brute_force(texts, items))
+    kept = {r.doc_id for r in decontaminate.drop_contaminated(docs, benchmark).collect()}
+    assert kept == set(range(len(texts))) - {d for d, _, _ in got}
+
+
+def test_leaks_edges(spark, edge, empty):
+    none = spark.createDataFrame([(1, None), (None, ""), (2, "a b")], "item_id long, text string")
+    assert decontaminate.contaminated(edge, none).count() == 0 and decontaminate.contaminated(empty, none).count() == 0
+    assert decontaminate.drop_contaminated(edge, none).count() == len(EDGE)
+
+
+# -- 9 media -----------------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 9), st.integers(1, 70), st.lists(st.integers(0, 4), min_size=9, max_size=9), st.randoms(use_true_random=False))
+def test_every_row_filter_is_undone(height, width, kinds, rng):
+    image = np.array([[rng.randrange(256) for _ in range(width)] for _ in range(height)], np.uint8)
+    rows = []
+    for k in range(height):
+        up = image[k - 1].astype(int) if k else np.zeros(width, int)
+        row = image[k].astype(int)
+        left, corner = np.append(0, row[:-1]), np.append(0, up[:-1])
+        paeth = [min((a, b, c), key=lambda v, p=a + b - c: abs(p - v)) for a, b, c in zip(left.tolist(), up.tolist(), corner.tolist())]
+        guess = (np.zeros(width, int), left, up, (left + up) // 2, np.array(paeth))[kinds[k]]
+        rows.append((row - guess) % 256)
+    assert (media.unfilter(np.array(kinds[:height]), np.array(rows, np.uint8)) == image).all()
+
+
+def test_media_round_trip_and_checks(edge, empty):
+    rows = media.media_features(media.media_table(edge)).collect()
+    texts = sorted((t or "").encode() for _, t in EDGE)
+    pad = lambda b: b + b"\0" * (max(1, -(-len(b) // 64)) * 64 - len(b))
+    assert sorted(r.payload_sha256 for r in rows) == sorted(hashlib.sha256(pad(t)).hexdigest() for t in texts)
+    assert sorted(r.tail_crc32 for r in rows) == sorted(zlib.crc32(pad(t)[-64:]) for t in texts)
+    assert media.media_features(media.media_table(empty)).count() == 0
+    image = bytearray(media.png_encode(media.samples_of(b"some text " * 30)))
+    image[60] ^= 1
+    with pytest.raises(ValueError):
+        media.png_decode(bytes(image))
+
+
+def test_cosine_hash_survives_small_changes():
+    rng = np.random.default_rng(9)
+    image = np.kron(rng.integers(0, 255, (8, 8)), np.ones((12, 8))).astype(np.uint8)
+    noisy = np.clip(image.astype(int) + rng.integers(-3, 4, image.shape), 0, 255).astype(np.uint8)
+    far = np.kron(rng.integers(0, 255, (8, 8)), np.ones((12, 8))).astype(np.uint8)
+    bits = lambda a: np.unpackbits(np.frombuffer(media.cosine_hash(a), np.uint8))
+    assert (bits(image) != bits(noisy)).sum() <= 4 < (bits(image) != bits(far)).sum()
