@@ -126,18 +126,18 @@ def wiki_pages(tree: DataFrame) -> DataFrame:
 
 
 def harvest_pages(pages: DataFrame, xml: str = "xml") -> DataFrame:
-    """Records of harvested XML pages: id, datestamp, deleted, title, report numbers; an error page raises."""
-    bad = F.xpath_string(xml, F.lit('//*[local-name()="error"]'))
-    checked = F.when(bad != "", F.raise_error(F.concat(F.lit("harvest error: "), bad))).otherwise(F.col(xml))
-    record = '//*[local-name()="record"]'
-    per = F.xpath_number(F.col("_x"), F.lit(f"count({record})")).cast("int")
-    rows = pages.select(checked.alias("_x")).select("_x", F.explode(F.sequence(F.lit(1), F.greatest(per, F.lit(1)))).alias("_k"), per.alias("_n")).where("_k <= _n")
-    one = lambda tail: F.expr(f"xpath_string(_x, concat('({record})[', _k, ']{tail}'))")
-    many = lambda tail: F.expr(f"xpath(_x, concat('({record})[', _k, ']{tail}/text()'))")
-    name = lambda n: f"//*[local-name()=\"{n}\"]"
-    return rows.select(
-        one(name("identifier") + "[1]").alias("oai_id"), one(name("datestamp")).alias("datestamp"), (one("/*[local-name()=\"header\"]/@status") == "deleted").alias("deleted"),
-        one(name("title")).alias("title"), many(name("identifier")).alias("identifiers"), many(name("creator")).alias("creators"),
+    """Records of harvested XML pages: id, datestamp, deleted, title, identifiers, creators; an error page raises.
+
+    Element prefixes are dropped, so names are looked up whatever their namespaces are called.
+    """
+    plain = F.regexp_replace(F.regexp_replace(xml, r"<\?[^>]*\?>", ""), r"<(/?)[\w.-]+:", "<$1")
+    bad = F.regexp_extract(plain, r"(?s)<error\b[^>]*>(.*?)</error>", 1)
+    checked = F.when(bad != "", F.raise_error(F.concat(F.lit("harvest error: "), bad))).otherwise(plain)
+    each = pages.select(F.explode(F.regexp_extract_all(checked, F.lit(r"(?s)<record\b.*?</record>"), F.lit(0))).alias("_r"))
+    one = lambda path: F.xpath_string("_r", F.lit(path))
+    return each.select(
+        one("/record/header/identifier").alias("oai_id"), one("/record/header/datestamp").alias("datestamp"), (one("/record/header/@status") == "deleted").alias("deleted"),
+        one("/record/metadata//title").alias("title"), F.xpath("_r", F.lit("/record/metadata//identifier/text()")).alias("identifiers"), F.xpath("_r", F.lit("/record/metadata//creator/text()")).alias("creators"),
     )
 
 
