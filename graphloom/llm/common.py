@@ -29,7 +29,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete written tables that no later step reads, and let Spark drop finished shuffles.
+
+    Shuffle files go once the driver's JVM has collected what referred to them, which
+    on a quiet driver would otherwise happen long after the next large shuffle.
+    """
+    for table_ in tables:
+        context = table_.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table_.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        context._jvm.System.gc()
 
 
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from graphloom.llm.common import small_batches, whole_text, written
+from graphloom.llm.common import release, small_batches, whole_text, written
 from graphloom.llm.near_dup import mix
 
 LENGTH, KMER = 200, 32
@@ -144,17 +144,39 @@ def longest_matches(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """n, tag, doc_id, text: a doc id (or a hash for null), and what tells texts of one id apart."""
     text = whole_text()
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("n"),
-        F.hash(text).alias("tag"),
+        F.pmod(F.hash(text), F.lit(1 << 23)).alias("tag"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
     )
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """n, tag, doc_id and the compressed bytes of the text: what a shuffle of whole texts carries."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = [packer.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], ["n", "tag", "doc_id", "packed"])
+
+    return _keyed(docs).mapInArrow(run, "n long, tag int, doc_id long, packed binary")
+
+
+def _place(row: str = "place") -> tuple:
+    """Tag, span and start out of a segment's packed place."""
+    place = F.col(row)
+    return F.shiftright(place, 40).cast("int"), F.shiftright(place, 32).bitwiseAND(255).cast("int"), place.bitwiseAND(0xFFFFFFFF)
+
+
 def segments(docs: DataFrame) -> DataFrame:
-    """n, tag, start, span, seed, content of every segment, as a written table."""
+    """n, place (tag, span and start in one number), seed, content of every segment, as a written table."""
     small_batches(docs.sparkSession, 256)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,22 +188,33 @@ def segments(docs: DataFrame) -> DataFrame:
             for n, tag, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 data = text.encode("utf-8", "surrogatepass")
                 for first, last, seed in segments_of(data):
-                    rows.append((n, tag, first, last - first, seed, digest(data[first : last + LENGTH])))
-            columns = list(zip(*rows)) if rows else [[]] * 6
-            content = np.array(columns[5], np.uint64).view(np.int64)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int16(), pa.int64())
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds)], pa.array(content)], ["n", "tag", "start", "span", "seed", "content"])
+                    rows.append((n, tag << 40 | last - first << 32 | first, seed, digest(data[first : last + LENGTH])))
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            content = np.array(columns[3], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(content)], ["n", "place", "seed", "content"])
 
-    rows = _keyed(docs).select("n", "tag", "text").mapInArrow(run, "n long, tag int, start int, span smallint, seed long, content long")
+    rows = _keyed(docs).select("n", "tag", "text").mapInArrow(run, "n long, place long, seed long, content long")
     return written(rows, "segments")
 
 
 def _examples(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """``kept`` (n, tag, start, span, seed, content, many) with the bytes of its segments."""
-    wanted = kept.groupBy("n", "tag").agg(F.collect_list(F.struct("start", "span", "seed", "content", "many")).alias("parts"))
-    rows = _keyed(docs).select("n", "tag", "text").join(wanted, ["n", "tag"])
-    rows = rows.select(F.encode("text", "UTF-8").alias("data"), F.explode("parts").alias("p"))
-    return rows.select("p.seed", "p.content", "p.many", "p.span", F.substring("data", F.col("p.start") + 1, F.col("p.span") + LENGTH).alias("part"))
+    """``kept`` (n, place, seed, content, contents, many) with span and the bytes of its segments."""
+    tag, span, start = _place()
+    part = F.struct("seed", "content", "contents", "many", span.alias("span"), start.alias("start"))
+    wanted = kept.select("n", tag.alias("tag"), part.alias("part")).groupBy("n", "tag").agg(F.collect_list("part").alias("parts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpacker = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for packed, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                data = unpacker.decompress(packed)
+                out = [{**p, "part": data[p["start"] : p["start"] + p["span"] + LENGTH]} for p in parts]
+                yield pa.RecordBatch.from_pylist(out, pa.schema([("seed", pa.int64()), ("content", pa.int64()), ("contents", pa.int64()), ("many", pa.bool_()), ("span", pa.int32()), ("part", pa.binary())]))
+
+    rows = _packed(docs).join(wanted, ["n", "tag"]).select("packed", "parts")
+    return rows.mapInArrow(run, "seed long, content long, contents long, many boolean, span int, part binary")
 
 
 def _by_index(examples: DataFrame, shards: int) -> DataFrame:
@@ -199,38 +232,48 @@ def _by_index(examples: DataFrame, shards: int) -> DataFrame:
         columns = list(zip(*out)) if out else [[], [], []]
         return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.list_(pa.int32()))], names=["seed", "content", "offsets"])
 
-    dealt = examples.dropDuplicates(["seed", "content"]).withColumn("shard", F.pmod(F.xxhash64("seed"), F.lit(shards)))
+    # Repeated rows may give an example twice; their contents are met twice, so no mark depends on it.
+    dealt = examples.withColumn("shard", F.pmod(F.xxhash64("seed"), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(mark, "seed long, content long, offsets array<int>")
 
 
 def _by_digest(examples: DataFrame) -> DataFrame:
     """The same for seeds of very many contents: every window counted by its digest."""
     at = F.posexplode(F.transform(F.sequence(F.lit(0), F.col("span").cast("int")), lambda k: F.md5(F.substring("part", k + 1, F.lit(LENGTH)))))
-    windows = examples.dropDuplicates(["seed", "content"]).select("seed", "content", "many", at.alias("offset", "digest"))
+    windows = examples.select("seed", "content", "many", at.alias("offset", "digest"))
     counts = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     return windows.where("not many").join(counts, "digest").groupBy("seed", "content").agg(F.collect_list("offset").alias("offsets"))
 
 
 def repeated_starts(docs: DataFrame) -> DataFrame:
-    """n, tag and the ranges (first, last) of window starts that repeat, an array each."""
+    """n, tag and the ranges (first, last) of window starts that repeat, as a written table."""
     found = segments(docs)
-    contents = found.groupBy("seed", "content").agg(
-        F.count(F.lit(1)).alias("met"), F.min("n").alias("n"), F.min_by("tag", "n").alias("tag"), F.min_by("start", "n").alias("start"), F.min("span").alias("span")
-    )
-    seeds = contents.groupBy("seed").agg(F.count(F.lit(1)).alias("contents"), F.sum("met").alias("total")).where("total > 1")
-    known = contents.join(seeds.select("seed", "contents"), "seed").select("seed", "content", "n", "tag", "start", "span", "contents", (F.col("met") > 1).alias("many"))
-    known = written(known, "contents")
+    seeds = found.groupBy("seed").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("seed")
+    rows = written(found.join(seeds, "seed"), "repeated-seeds")
+    release(found)
+    contents = rows.groupBy("seed", "content").agg(F.count(F.lit(1)).alias("met"), F.min_by("place", "n").alias("place"), F.min("n").alias("n"))
+    kinds = contents.groupBy("seed").agg(F.count(F.lit(1)).alias("contents"))
+    known = written(contents.join(kinds, "seed").select("seed", "content", "n", "place", "contents", (F.col("met") > 1).alias("many")), "contents")
     varied = known.where("contents > 1")
     cool, hot = varied.where(F.col("contents") <= HOT), varied.where(F.col("contents") > HOT)
-    marks = known.where("many").select("seed", "content", F.array(F.struct(F.lit(0).alias("a"), F.col("span").cast("int").alias("b"))).alias("ranges"))
+    whole = F.array(F.struct(F.lit(0).alias("a"), _place()[1].alias("b"))).alias("ranges")
+    marks = known.where("many").select("seed", "content", whole)
     each = F.transform("offsets", lambda k: F.struct(k.alias("a"), k.alias("b"))).alias("ranges")
-    size = cool.agg(F.sum(F.col("span") + LENGTH)).first()[0]
-    examples = written(_examples(docs, varied.drop("contents")), "examples")
-    marks = marks.unionByName(_by_index(examples.join(cool.select("seed").distinct(), "seed", "left_semi"), 1 + (size or 0) // SHARD_BYTES).select("seed", "content", each))
+    size = cool.agg(F.sum(_place()[1] + LENGTH)).first()[0]
+    # Where every content of a seed is met again, all of it is marked already.
+    single = varied.where("not many").select("seed").distinct()
+    examples = written(_examples(docs, varied.join(single, "seed", "left_semi")), "examples")
+    marks = marks.unionByName(_by_index(examples.where(F.col("contents") <= HOT), 1 + (size or 0) // SHARD_BYTES).select("seed", "content", each))
     if not hot.isEmpty():
-        marks = marks.unionByName(_by_digest(examples.join(hot.select("seed").distinct(), "seed", "left_semi")).select("seed", "content", each))
-    hits = found.join(marks, ["seed", "content"]).select("n", "tag", F.transform("ranges", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"]).alias("b"))).alias("ranges"))
-    return hits.groupBy("n", "tag").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+        marks = marks.unionByName(_by_digest(examples.where(F.col("contents") > HOT)).select("seed", "content", each))
+    marks = written(marks, "marks")
+    release(known, examples)
+    tag, _, start = _place()
+    moved = F.transform("ranges", lambda r: F.struct((start + r["a"]).alias("a"), (start + r["b"]).alias("b")))
+    hits = rows.join(marks, ["seed", "content"]).select("n", tag.alias("tag"), moved.alias("ranges"))
+    out = written(hits.groupBy("n", "tag").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "repeats")
+    release(rows, marks)
+    return out
 
 
 def cut_ranges(data: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -249,14 +292,17 @@ def cut_ranges(data: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, the kept bytes, n_bytes, n_removed and n_spans of every document."""
-    marked = written(repeated_starts(docs), "repeats")
+    marked = repeated_starts(docs)
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             kept, sizes, runs = [], [], []
-            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                data = text.encode("utf-8", "surrogatepass")
+            for packed, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                data = unpacker.decompress(packed)
                 left, n = cut_ranges(data, [(r["a"], r["b"]) for r in ranges or ()])
                 kept.append(left)
                 sizes.append(len(data))
@@ -266,7 +312,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"],
             )
 
-    rows = _keyed(docs).join(marked, ["n", "tag"], "left").select("doc_id", "text", "ranges")
+    rows = _packed(docs).join(marked, ["n", "tag"], "left").select("doc_id", "packed", "ranges")
     return rows.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 
