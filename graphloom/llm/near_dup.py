@@ -32,6 +32,8 @@ from graphloom.llm.common import small_batches, whole_text, written
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 36, 7
 BROADCAST_ROWS = 1_000_000
+#: The bands of each round of comparison.
+ROUNDS = ((0, 2), (2, 8), (8, BANDS))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -183,48 +185,64 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def _joined(linked: DataFrame | None, compared: DataFrame) -> DataFrame:
+    """Classes (n, class) with the compared pairs that are links added, by links between classes.
+
+    A node that is the least of its class has no row.
+    """
+    links = compared.where(F.col("similarity") >= THRESHOLD).select("a", "b")
+    if linked is None:
+        return components(links)
+    if links.isEmpty():
+        return linked
+    for end in ("a", "b"):
+        links = links.join(linked.select(F.col("n").alias(end), F.col("class").alias("_c")), end, "left").withColumn(end, F.coalesce("_c", end)).drop("_c")
+    merged = components(links)
+    moved = linked.join(merged.select(F.col("n").alias("class"), F.col("class").alias("_to")), "class", "left").select("n", F.coalesce("_to", "class").alias("class"))
+    return written(moved.unionByName(merged), "classes")
+
+
+def _open_members(firsts: DataFrame, linked: DataFrame | None) -> DataFrame:
+    """Members (key, n, class) of buckets that hold several classes, with the least member and its class."""
+    rows = firsts.withColumn("class", F.col("n")) if linked is None else firsts.join(linked, "n", "left").withColumn("class", F.coalesce("class", "n"))
+    rows = written(rows.select("key", "n", "class"), "members")
+    buckets = rows.groupBy("key").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi"), F.min("n").alias("least"), F.min_by("class", "n").alias("least_class"))
+    return rows.join(buckets.where("_lo < _hi").select("key", "least", "least_class"), "key").where("n <> least")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """n, doc_id and class (the least n of its near-duplicates) of every document."""
     signed = signatures(docs)
     copies = written(signed.groupBy("digest").agg(F.min("n").alias("rep")), "copies")
-    firsts = signed.join(copies, (signed["n"] == copies["rep"]) & (signed["digest"] == copies["digest"])).select("n", F.explode("bands").alias("key"))
+    firsts = signed.join(copies, (signed["n"] == copies["rep"]) & (signed["digest"] == copies["digest"])).select("n", F.posexplode("bands").alias("band", "key"))
     firsts = written(firsts.distinct(), "bands")
-    buckets = firsts.groupBy("key").agg(F.min("n").alias("least"), F.max("n").alias("most")).where("least < most").select("key", "least")
-    members = written(firsts.join(buckets, "key").where("n <> least"), "buckets")
-    pairs = written(members.select(F.col("least").alias("a"), F.col("n").alias("b")).distinct(), "pairs")
-    involved = written(pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct(), "involved")
-    sets = shingle_sets(docs, involved)
+    keys = firsts.groupBy("key").agg(F.min("n").alias("_lo"), F.max("n").alias("_hi")).where("_lo < _hi").select("key")
+    firsts = written(firsts.join(keys, "key", "left_semi"), "buckets")
+    sets = shingle_sets(docs, written(firsts.select("n").distinct(), "involved"))
+    # A few bands find most links; each further round sees only buckets of several classes.
+    linked, compared = None, None
+    for first, last in ROUNDS:
+        members = _open_members(firsts.where(F.col("band").between(first, last - 1)), linked)
+        pairs = members.where("class <> least_class").groupBy("n").agg(F.min("least").alias("a")).select("a", F.col("n").alias("b"))
+        found = similarities(written(pairs, "pairs"), sets).withColumn("round", F.lit(first))
+        linked = _joined(linked, found)
+        compared = found if compared is None else compared.unionByName(found)
+    # What is still apart: every member against the least of its bucket, then against the other classes there.
+    members = written(_open_members(firsts, linked), "open")
+    pairs = members.where("class <> least_class").select(F.col("least").alias("a"), F.col("n").alias("b")).distinct()
+    linked = _joined(linked, similarities(written(pairs.join(compared, ["a", "b"], "left_anti"), "pairs"), sets))
+    known = compared.groupBy(F.col("b").alias("n")).agg(F.min_by(F.struct(F.col("a").alias("reference"), "similarity"), "round").alias("k")).select("n", "k.*")
     sizes = sets.groupBy("n").agg(F.max(F.size("grams")).alias("size"))
-    first = similarities(pairs, sets)
-    links = first.where(F.col("similarity") >= THRESHOLD).select("a", "b")
-    linked = components(links)
-    # Members of another class than their bucket's least: the others cannot gain by them.
-    known = first.select(F.col("a").alias("least"), F.col("b").alias("n"), "similarity")
-    label = linked.select("n", "class")
-    placed = (
-        members.join(known, ["least", "n"])
-        .join(label, "n", "left")
-        .join(label.select(F.col("n").alias("least"), F.col("class").alias("least_class")), "least", "left")
-        .select("key", "n", "similarity", F.coalesce("class", "n").alias("class"), F.coalesce("least_class", "least").alias("least_class"))
-        .join(sizes, "n")
-    )
-    placed = written(placed, "placed")
-    apart = placed.where("class <> least_class").select("key", "n", "similarity", "class", "size")
-    # A bucket with one such member that stands beside its least member alone has no further pair.
-    several = placed.groupBy("key").agg(F.min("n").alias("_lo"), F.max("n").alias("_hi"), F.max(F.col("class") != F.col("least_class")).alias("_apart")).where("_lo < _hi and _apart").select("key")
-    other = placed.join(several, "key").select("key", F.col("n").alias("n2"), F.col("similarity").alias("similarity2"), F.col("class").alias("class2"), F.col("size").alias("size2"))
+    placed = written(_open_members(members.select("key", "n").unionByName(members.select("key", F.col("least").alias("n"))).distinct(), linked).join(sizes, "n").join(known, "n", "left"), "placed")
+    apart = placed.where("class <> least_class").select("key", "n", "reference", "similarity", "class", "size")
+    # A bucket with one such member beside its least member alone has no further pair.
+    several = placed.groupBy("key").agg(F.min("n").alias("_lo"), F.max("n").alias("_hi")).where("_lo < _hi").select("key")
+    other = placed.join(several, "key").select("key", *[F.col(c).alias(f"{c}2") for c in ("n", "reference", "similarity", "class", "size")])
     slack = 1 - THRESHOLD + 1e-9
-    possible = (
-        (F.col("class") != F.col("class2"))
-        & (F.abs(F.col("similarity") - F.col("similarity2")) <= slack)
-        & (F.least("size", "size2") >= F.greatest("size", "size2") * THRESHOLD - 1e-9)
-    )
+    near = F.when(F.col("reference") == F.col("reference2"), F.abs(F.col("similarity") - F.col("similarity2")) <= slack)
+    possible = (F.col("class") != F.col("class2")) & F.coalesce(near, F.lit(True)) & (F.least("size", "size2") >= F.greatest("size", "size2") * THRESHOLD - 1e-9)
     more = apart.join(other, "key").where(possible).select(F.least("n", "n2").alias("a"), F.greatest("n", "n2").alias("b")).distinct()
-    further = similarities(written(more, "further"), sets).where(F.col("similarity") >= THRESHOLD).select("a", "b")
-    if further.isEmpty():
-        final = linked
-    else:
-        final = components(linked.select(F.col("n").alias("a"), F.col("class").alias("b")).unionByName(further))
+    final = _joined(linked, similarities(written(more, "further"), sets))
     # A doc id with several texts is one document: its texts' classes are joined below.
     of_digest = copies.join(final.withColumnRenamed("n", "rep"), "rep", "left").select("digest", F.coalesce("class", "rep").alias("class"))
     rows = signed.select("n", "doc_id", "digest").join(of_digest, "digest")
