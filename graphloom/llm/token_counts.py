@@ -137,4 +137,5 @@ def token_counts(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, end_id:
     folder = shared_dir(docs.sparkSession, "flat")
     index = write_flat(docs, folder, vocabulary, end_id)
     counts = scan_flat(index.where("at = 0").select("file"), folder, end_id)
-    return index.join(counts, ["file", "at"]).select("doc_id", "n_tokens", "file", "at", "start")
+    # Sizes are guessed from the list of files, so the join is told to shuffle both sides.
+    return index.join(counts.hint("merge"), ["file", "at"]).select("doc_id", "n_tokens", "file", "at", "start")
