@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from graphloom.llm.common import small_batches, whole_text, written
+from graphloom.llm.common import release, small_batches, whole_text, written
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 36, 7
 BROADCAST_ROWS = 1_000_000
@@ -201,7 +201,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = written(hung.where("a <> b").distinct(), "edges")
+        last, edges = edges, written(hung.where("a <> b").distinct(), "edges")
+        release(last)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("n"), F.col("b").alias("class"))
@@ -241,7 +242,8 @@ def classes(docs: DataFrame) -> DataFrame:
     firsts = single.select("n", F.posexplode("bands").alias("band", "key"))
     firsts = written(firsts.distinct(), "bands")
     keys = firsts.groupBy("key").agg(F.min("n").alias("_lo"), F.max("n").alias("_hi")).where("_lo < _hi").select("key")
-    firsts = written(firsts.join(keys, "key", "left_semi"), "buckets")
+    every, firsts = firsts, written(firsts.join(keys, "key", "left_semi"), "buckets")
+    release(every)
     sets = shingle_sets(docs, written(firsts.select("n").distinct(), "involved"))
     # A few bands find most links; each further round sees only buckets of several classes.
     linked, compared = None, None
