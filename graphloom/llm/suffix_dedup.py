@@ -248,9 +248,10 @@ def _by_digest(examples: DataFrame) -> DataFrame:
 def repeated_starts(docs: DataFrame) -> DataFrame:
     """n, tag and the ranges (first, last) of window starts that repeat, as a written table."""
     found = segments(docs)
-    seeds = found.groupBy("seed").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("seed")
+    # Written, so that both sides of the join are plain shuffles and a seed of very many rows can be split.
+    seeds = written(found.groupBy("seed").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("seed"), "seeds")
     rows = written(found.join(seeds, "seed"), "repeated-seeds")
-    release(found)
+    release(found, seeds)
     contents = rows.groupBy("seed", "content").agg(F.count(F.lit(1)).alias("met"), F.min_by("place", "n").alias("place"), F.min("n").alias("n"))
     kinds = contents.groupBy("seed").agg(F.count(F.lit(1)).alias("contents"))
     known = written(contents.join(kinds, "seed").select("seed", "content", "n", "place", "contents", (F.col("met") > 1).alias("many")), "contents")
