@@ -182,11 +182,11 @@ def _spans(rule: Rule, kind: int) -> Column:
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("spans")), add, lambda state: state["spans"])
 
 
-def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with a column ``secrets``: array<struct<start, kind, end>> by start, then kind.
+def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "secrets") -> DataFrame:
+    """``docs`` with a column ``into``: array<struct<start, kind, end>> by start, then kind.
 
     ``kind`` is the rule's place in ``rules``.  Every input row comes back once, with
-    its own columns as they were.
+    its own columns as they were (one of that name is replaced).
     """
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     grams = sorted({g for query in queries.values() for alternatives in query for strings in alternatives for g in strings})
@@ -203,7 +203,7 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for k, rule in enumerate(rules):
         may = F.coalesce(F.col(f"_may_{rule.kind}"), F.lit(False)) if rule.kind in indexed else F.col("_text").rlike(rule.java())
         kinds.append(F.when(may, _spans(rule, k)).otherwise(none))
-    return joined.withColumn("secrets", F.array_sort(F.concat(*kinds))).select(*docs.columns, "secrets")
+    return joined.withColumn(into, F.array_sort(F.concat(*kinds))).select(*[c for c in docs.columns if c != into], into)
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
@@ -219,9 +219,9 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secre
     def end(state):
         return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
 
-    clean = F.aggregate("secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, end)
-    found = secret_spans(docs, rules)
-    return found.withColumn("text", F.when(F.size("secrets") > 0, clean).otherwise(text)).select(*docs.columns)
+    clean = F.aggregate("_secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, end)
+    found = secret_spans(docs, rules, "_secrets")
+    return found.withColumn("text", F.when(F.size("_secrets") > 0, clean).otherwise(text)).select(*docs.columns)
 
 
 def digest(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE)) -> DataFrame:
