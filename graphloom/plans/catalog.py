@@ -245,6 +245,12 @@ def email_redact(t):
     return rows.select("doc_id", F.sha2(T.redact_emails(F.col("text")), 256).alias("digest"))
 
 
+@query()
+def email_redact_all(t):
+    """Every document; ``email_redact`` holds only the rows on which its oracle needs no lookahead."""
+    return t("documents").select("doc_id", F.sha2(T.redact_emails(F.col("text")), 256).alias("digest"))
+
+
 @query()
 def anonymise(t):
     return t("documents").select("doc_id", F.sha2(T.anonymise(F.col("text"), []), 256).alias("digest"))

@@ -188,6 +188,15 @@ def test_text_functions(spark):
     assert one(spark, T.report_code(F.col("x")), x="XYZ-PAS-ABC-20-001") == "ABC-20-001"
 
 
+def test_every_document_is_redacted(spark, tmp_path):
+    from graphloom.plans.catalog import QUERIES
+
+    texts = {1: ("going to ann@x.org", "going to "), 2: ("greg@mail.example.org", ""), 3: ("git@host.org and bob@x.org", "git@host.org and "), 4: ("no address", "no address"), 5: (None, None)}
+    spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.digest for r in QUERIES["email_redact_all"](spark, str(tmp_path)).collect()}
+    assert got == {k: out if out is None else hashlib.sha256(out.encode()).hexdigest() for k, (_, out) in texts.items()}
+
+
 def test_range_join_and_lookups(spark):
     ranges = spark.createDataFrame([(1, 0, 130), (2, 64, 64)], "c long, lo long, hi long")
     points = spark.createDataFrame([(v,) for v in (0, 64, 130, 131)], "run long")
