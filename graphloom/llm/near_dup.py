@@ -1,12 +1,13 @@
 """Near-duplicate classes by ProbMinHash signatures, banding and exact verification.
 
-Shingles are five consecutive lower-case words (all words of a shorter text), weighted
-by 1 + ln(count).  ProbMinHash gives each text ``BANDS * ROWS`` registers: every shingle
-is a Poisson process whose rate is its weight; arrivals fall into random registers, the
-earliest arrival of a register names its shingle, and a process ends once it is later
-than every register.  Registers of two texts agree with the probability Jaccard of their
-weights.  Texts that agree on a whole band are candidates; a candidate pair is a link if
-the plain Jaccard similarity of its shingle sets is ``THRESHOLD`` or more.
+Shingles are five consecutive lower-case words (all words of a shorter text), each of
+weight 1 however often it occurs.  ProbMinHash gives each text ``BANDS * ROWS``
+registers: every shingle is a Poisson process whose rate is its weight; arrivals fall
+into random registers, the earliest arrival of a register names its shingle, and a
+process ends once it is later than every register.  Registers of two texts agree with
+the probability Jaccard of their weights, which for equal weights is the plain Jaccard
+similarity of the shingle sets.  Texts that agree on a whole band are candidates; a
+candidate pair is a link if that same similarity is ``THRESHOLD`` or more.
 
 Copies are first reduced to one representative of each text.  A bucket of candidates is
 not expanded into its pairs: all members are verified against its least member, links
@@ -32,10 +33,8 @@ from graphloom.llm.common import release, small_batches, whole_text, written
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 36, 7
 BROADCAST_ROWS = 1_000_000
-#: Numbers of a sketch, and how many registers of a pair may differ for it to be verified in
-#: the last round: a pair of similarity 0.8 has more (an estimate under 0.7, four standard
-#: deviations away) with probability 3e-5.
-SKETCH, MOST_UNLIKE = 16, 70
+#: Numbers of a sketch.
+SKETCH = 16
 #: The bands of each round of comparison.
 ROUNDS = ((0, 2), (2, 8), (8, BANDS))
 
@@ -115,21 +114,23 @@ def band_keys(content: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def sketches(content: np.ndarray) -> np.ndarray:
-    """Four bits of every register, sixteen to an int64: rows of SKETCH numbers."""
-    bits = np.zeros((len(content), SKETCH * 16), np.uint64)
-    bits[:, : content.shape[1]] = content & np.uint64(15)
-    shifts = np.arange(0, 64, 4, dtype=np.uint64)
-    return np.bitwise_or.reduce(bits.reshape(len(content), SKETCH, 16) << shifts, axis=2).view(np.int64)
+def narrow(hashes: np.ndarray) -> np.ndarray:
+    """The distinct 32-bit shingle hashes, on which similarity is measured."""
+    return np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+
+
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Whether an odd number of a set's narrow hashes falls into each of 64 * SKETCH bins, as bits: rows of SKETCH numbers."""
+    bins = SKETCH * 64
+    odd = np.array([np.bincount(s % np.uint32(bins), minlength=bins) & 1 for s in sets], np.uint8)
+    return np.packbits(odd, axis=1, bitorder="little").view(np.int64)
 
 
 def unlike(a: str, b: str) -> Column:
-    """How many registers of two sketches differ in their four bits."""
+    """How many bits of two sketches differ: never more than the hashes that are in one set only."""
     out = F.lit(0)
     for k in range(SKETCH):
-        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
-        any_ = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
-        out = out + F.bit_count(any_.bitwiseAND(F.lit(0x1111111111111111)))
+        out = out + F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k]))
     return out
 
 
@@ -148,13 +149,13 @@ def signatures(docs: DataFrame) -> DataFrame:
         shingler = Shingler()
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            found = [np.unique(shingler.of(t), return_counts=True) for t in texts]
-            some = [k for k, (s, _) in enumerate(found) if len(s)]
+            found = [np.unique(shingler.of(t)) for t in texts]
+            some = [k for k, s in enumerate(found) if len(s)]
             keys: list = [[]] * len(texts)
             brief: list = [[]] * len(texts)
             if some:
-                content = prob_min_hash([found[k][0] for k in some], [1 + np.log(found[k][1]) for k in some], BANDS * ROWS)
-                for k, row, short in zip(some, band_keys(content), sketches(content)):
+                content = prob_min_hash([found[k] for k in some], [np.ones(len(found[k])) for k in some], BANDS * ROWS)
+                for k, row, short in zip(some, band_keys(content), sketches([narrow(found[k]) for k in some])):
                     keys[k], brief[k] = row, short
             digests = [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(brief, pa.list_(pa.int64()))], ["n", "doc_id", "digest", "bands", "sketch"])
@@ -171,7 +172,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            sets = [np.unique((shingler.of(t) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in batch.column(1).to_pylist()]
+            sets = [narrow(shingler.of(t)).view(np.int32) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int32()))], ["n", "grams"])
 
     rows = _numbered(docs).select("n", "text").join(wanted, "n", "left_semi")
@@ -266,7 +267,9 @@ def classes(docs: DataFrame) -> DataFrame:
     other = placed.join(several, "key").select("key", *[F.col(c).alias(f"{c}2") for c in ("n", "reference", "similarity", "class", "size", "sketch", "bands")])
     slack = 1 - THRESHOLD + 1e-9
     near = F.when(F.col("reference") == F.col("reference2"), F.abs(F.col("similarity") - F.col("similarity2")) <= slack)
-    possible = (F.col("class") != F.col("class2")) & F.coalesce(near, F.lit(True)) & (F.least("size", "size2") >= F.greatest("size", "size2") * THRESHOLD - 1e-9) & (unlike("sketch", "sketch2") <= MOST_UNLIKE)
+    possible = (F.col("class") != F.col("class2")) & F.coalesce(near, F.lit(True)) & (F.least("size", "size2") >= F.greatest("size", "size2") * THRESHOLD - 1e-9)
+    # Of sizes a + b, a link has at most (a + b) (1 - t) / (1 + t) shingles in one set only.
+    possible = possible & (unlike("sketch", "sketch2") <= (F.col("size") + F.col("size2")) * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-6)
     possible = possible & (F.array_intersect("bands", "bands2")[0] == F.col("key"))  # once, in the first bucket of both
     more = apart.join(other, "key").where(possible).select(F.least("n", "n2").alias("a"), F.greatest("n", "n2").alias("b")).distinct()
     final = _joined(linked, similarities(written(more, "further"), sets))

@@ -171,6 +171,32 @@ def test_near_duplicates_match_all_pairs(spark):
     assert {r.doc_id for r in near_dup.keep_one(docs).collect()} == set(got.values())
 
 
+def test_near_duplicates_that_differ_by_repeated_lines(spark):
+    rng = random.Random(6)
+    texts = []
+    for times in (1, 20, 100, 500):
+        for _ in range(4):
+            base = words(rng, 200)
+            extra = [w for line in (words(rng, 10) for _ in range(3)) for w in line * times]
+            texts += [" ".join(base), " ".join(base + extra)]
+    want = near_dup.brute_force(texts)
+    assert want == [k - k % 2 for k in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+
+
+def test_sketches_never_overstate_a_difference(spark):
+    rng = np.random.default_rng(5)
+    pool = np.unique(rng.integers(0, 2**32, 9000).astype(np.uint32))
+    for size, own in ((1, 1), (90, 10), (900, 100), (900, 900), (3000, 3000)):
+        a, b = pool[: size + own], np.concatenate([pool[:size], pool[-own:]])
+        x, y = (near_dup.sketches([s])[0].tolist() for s in (a, b))
+        frame = spark.createDataFrame([(x, y, x)], "x array<long>, y array<long>, z array<long>")
+        differ, same = frame.select(near_dup.unlike("x", "y"), near_dup.unlike("x", "z")).first()
+        assert 0 < differ <= 2 * own and same == 0
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(4)
     pool = rng.integers(1, 2**63, 300).astype(np.uint64)
