@@ -6,9 +6,10 @@ replaced word spoils only the stretches whose mask looks at it.  Equal hashes of
 and an item give a candidate alignment; the alignment is verified on all words: some
 ``WINDOW`` consecutive words of the item (the whole item if it is shorter) must agree
 with the text's in at least ``SHARE`` of their places.  The masks hit every such window
-that has two replaced words or fewer.
+with as many replaced words as that leaves: two, or one in items of 8 or 9 words.  Items
+shorter than a window offer fewer places, and have further masks (``SHORT_MASKS``).
 
-Items of fewer words than the shortest mask cannot be told from common phrases and are
+Items of fewer than ``LEAST_WORDS`` words cannot be told from common phrases and are
 not searched.  Null texts are empty and hold nothing; repeated rows are judged alike;
 null ids stay null; columns beside id and text are not read.  The item table is
 broadcast while its hashes are within ``BROADCAST_KEYS`` and joined by shuffle beyond,
@@ -25,6 +26,9 @@ from graphloom.llm.common import whole_text, written
 
 #: Positions that count; together they hit any 13 places of which two differ.
 MASKS = ("11101001", "1100010111", "11010011")
+#: With these, they hit items of LEAST_WORDS to SHORT words, wherever the replaced words are.
+SHORT_MASKS = ("111111", "110011101")
+LEAST_WORDS, SHORT = 8, 11
 WINDOW, SHARE = 13, 0.8
 BROADCAST_KEYS, BROADCAST_ROWS = 2_000_000, 1_000_000
 
@@ -33,30 +37,35 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _keys(hashes: str, place: str) -> Column:
+def _keys(hashes: str, place: str, masks: tuple[str, ...]) -> Column:
     """The hash of each mask laid at a place; null where the mask runs over the end."""
     out = []
-    for number, mask in enumerate(MASKS):
+    for number, mask in enumerate(masks):
         looks = [F.try_element_at(hashes, F.col(place) + k + 1) for k, c in enumerate(mask) if c == "1"]
         fits = F.col(place) + len(mask) <= F.size(hashes)
         out.append(F.when(fits, F.xxhash64(F.lit(number), *looks)))
     return F.array(*out)
 
 
-def seeds(rows: DataFrame, id_column: str) -> DataFrame:
+def seeds(rows: DataFrame, id_column: str, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """A row (id, place, key) for every mask at every place of ``_words``."""
     hashed = rows.select(id_column, F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
     placed = hashed.select(id_column, "_hashes", F.posexplode("_hashes").alias("place", "_x"))
-    return placed.select(id_column, "place", F.explode(_keys("_hashes", "place")).alias("key")).where("key is not null")
+    return placed.select(id_column, "place", F.explode(_keys("_hashes", "place", masks)).alias("key")).where("key is not null")
 
 
 def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct (text hash, item, shift) whose words agree under some mask, as a written table."""
-    item_keys = written(seeds(items, "item_key").withColumnRenamed("place", "item_place"), "item-seeds")
+    short = items.where(F.size("_words") <= SHORT)
+    masks = MASKS if short.isEmpty() else MASKS + SHORT_MASKS
+    item_keys = seeds(items, "item_key")
+    if masks != MASKS:
+        item_keys = seeds(items.where(F.size("_words") > SHORT), "item_key").unionByName(seeds(short, "item_key", masks))
+    item_keys = written(item_keys.withColumnRenamed("place", "item_place"), "item-seeds")
     if item_keys.count() <= BROADCAST_KEYS:
         item_keys = F.broadcast(item_keys)
     texts = docs.select(F.xxhash64("_text").alias("_h"), words(F.col("_text")).alias("_words"))
-    hits = seeds(texts, "_h").join(item_keys, "key")
+    hits = seeds(texts, "_h", masks).join(item_keys, "key")
     return written(hits.select("_h", "item_key", (F.col("place") - F.col("item_place")).alias("shift")).distinct(), "alignments")
 
 
@@ -78,7 +87,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``agreeing`` those on the whole alignment, of the best alignment of text and item.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(whole_text()).alias("_words")).distinct()
-    items = items.where(F.size("_words") >= min(map(len, MASKS))).withColumn("item_key", F.xxhash64("item_id", "_words"))
+    items = items.where(F.size("_words") >= LEAST_WORDS).withColumn("item_key", F.xxhash64("item_id", "_words"))
     texts = docs.withColumn("_text", whole_text())
     found = alignments(texts, items)
     small = found.count() <= BROADCAST_ROWS
@@ -121,7 +130,7 @@ def brute_force(texts: list[str], items: list[str]) -> list[tuple[int, int, int]
         t = cut(text.lower())
         for b, item in enumerate(items):
             w = cut(item.lower())
-            if len(w) < min(map(len, MASKS)):
+            if len(w) < LEAST_WORDS:
                 continue
             window, best = min(WINDOW, len(w)), 0
             for shift in range(-len(w) + 1, len(t)):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -364,6 +365,25 @@ def test_masks_hit_every_window_with_two_replaced_words():
         assert any(all(o + k not in bad for k, c in enumerate(m) if c == "1") for m in decontaminate.MASKS for o in range(decontaminate.WINDOW - len(m) + 1))
 
 
+@pytest.mark.parametrize("size", range(decontaminate.LEAST_WORDS, decontaminate.WINDOW + 1))
+def test_every_replacement_in_a_short_item_is_found(spark, size):
+    from itertools import combinations
+
+    rng = random.Random(size)
+    item = words(rng, size)
+    texts = [" ".join(item)]
+    for bad in range(1, size - math.ceil(size * decontaminate.SHARE) + 1):
+        for places in combinations(range(size), bad):
+            texts.append(" ".join(["before", *("changed" if k in places else w for k, w in enumerate(item)), "after"]))
+    texts += [" ".join(item[1:]), " ".join(item[:-1]), " ".join(words(rng, 30))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    others = [(1, " ".join(words(rng, 40)))]
+    benchmark = spark.createDataFrame([(0, " ".join(item)), *others], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.matched) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got == set(decontaminate.brute_force(texts, [" ".join(item), others[0][1]]))
+    assert {d for d, _, _ in got} >= set(range(len(texts) - 3))
+
+
 def test_leaks_match_laying_items_everywhere(spark):
     rng = random.Random(8)
     items = [" ".join(words(rng, n)) for n in (5, 9, 13, 40, 60)]
