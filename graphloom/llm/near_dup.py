@@ -17,8 +17,10 @@ triangle inequality of the Jaccard distance (through the least member) leave pos
 Within one class no comparison can add anything, so no link between classes is lost.
 
 Null texts are empty; a text without words is a duplicate of its copies only.  A null
-doc id stands for a hash of its text.  Rows that share a doc id are one document.  An
-empty table gives an empty result; columns beside doc_id and text are not read.
+doc id stands for a hash of its text.  Rows that share doc id and text are one document;
+of the texts that share a doc id, one has the id as its number and the others a hash of
+id and text, so each is judged by itself.  An empty table gives an empty result; columns
+beside doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -134,12 +136,29 @@ def unlike(a: str, b: str) -> Column:
     return out
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    text = whole_text()
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("n"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+def shared_ids(docs: DataFrame) -> DataFrame | None:
+    """Numbers (_n) that several texts share, with the text hash that keeps them (_first); None if there are none."""
+    texts = _with_number(docs, None).select("_n", F.xxhash64(whole_text()).alias("_t"))
+    found = written(texts.groupBy("_n").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last")).where("_first <> _last").select("_n", "_first"), "shared-ids")
+    count = found.count()
+    return (F.broadcast(found) if count <= BROADCAST_ROWS else found) if count else None
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def _with_number(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
+    """``docs`` with the number ``_n`` of each document."""
+    hashed = F.xxhash64(whole_text())
+    rows = docs.withColumn("_n", F.coalesce(F.col("doc_id").cast("long"), hashed))
+    if shared is None:
+        return rows
+    keeps = F.col("_first").isNull() | (F.col("_first") == hashed)
+    return rows.join(shared, "_n", "left").withColumn("_n", F.when(keeps, F.col("_n")).otherwise(F.xxhash64("_n", hashed))).drop("_first")
+
+
+def _numbered(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
+    return _with_number(docs, shared).select(F.col("_n").alias("n"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+
+
+def signatures(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
     """n, doc_id, digest of the text, band keys and sketch of every document, as a written table."""
     small_batches(docs.sparkSession, 256)
 
@@ -160,10 +179,10 @@ def signatures(docs: DataFrame) -> DataFrame:
             digests = [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(brief, pa.list_(pa.int64()))], ["n", "doc_id", "digest", "bands", "sketch"])
 
-    return written(_numbered(docs).mapInArrow(run, "n long, doc_id long, digest binary, bands array<long>, sketch array<long>"), "signatures")
+    return written(_numbered(docs, shared).mapInArrow(run, "n long, doc_id long, digest binary, bands array<long>, sketch array<long>"), "signatures")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, shared: DataFrame | None, wanted: DataFrame) -> DataFrame:
     """n and the distinct 32-bit shingle hashes of the wanted documents, as a written table."""
     small_batches(docs.sparkSession)
     if wanted.count() <= BROADCAST_ROWS:
@@ -175,7 +194,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = [narrow(shingler.of(t)).view(np.int32) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int32()))], ["n", "grams"])
 
-    rows = _numbered(docs).select("n", "text").join(wanted, "n", "left_semi")
+    rows = _numbered(docs, shared).select("n", "text").join(wanted, "n", "left_semi")
     return written(rows.mapInArrow(run, "n long, grams array<int>"), "shingles")
 
 
@@ -235,9 +254,9 @@ def _open_members(firsts: DataFrame, linked: DataFrame | None) -> DataFrame:
     return rows.join(buckets.where("_lo < _hi").select("key", "least", "least_class"), "key").where("n <> least")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
     """n, doc_id and class (the least n of its near-duplicates) of every document."""
-    signed = signatures(docs)
+    signed = signatures(docs, shared)
     copies = written(signed.groupBy("digest").agg(F.min("n").alias("rep")), "copies")
     single = signed.join(copies, (signed["n"] == copies["rep"]) & (signed["digest"] == copies["digest"]))
     firsts = single.select("n", F.posexplode("bands").alias("band", "key"))
@@ -245,7 +264,7 @@ def classes(docs: DataFrame) -> DataFrame:
     keys = firsts.groupBy("key").agg(F.min("n").alias("_lo"), F.max("n").alias("_hi")).where("_lo < _hi").select("key")
     every, firsts = firsts, written(firsts.join(keys, "key", "left_semi"), "buckets")
     release(every)
-    sets = shingle_sets(docs, written(firsts.select("n").distinct(), "involved"))
+    sets = shingle_sets(docs, shared, written(firsts.select("n").distinct(), "involved"))
     # A few bands find most links; each further round sees only buckets of several classes.
     linked, compared = None, None
     for first, last in ROUNDS:
@@ -273,7 +292,6 @@ def classes(docs: DataFrame) -> DataFrame:
     possible = possible & (F.array_intersect("bands", "bands2")[0] == F.col("key"))  # once, in the first bucket of both
     more = apart.join(other, "key").where(possible).select(F.least("n", "n2").alias("a"), F.greatest("n", "n2").alias("b")).distinct()
     final = _joined(linked, similarities(written(more, "further"), sets))
-    # A doc id with several texts is one document: its texts' classes are joined below.
     of_digest = copies.join(final.withColumnRenamed("n", "rep"), "rep", "left").select("digest", F.coalesce("class", "rep").alias("class"))
     rows = signed.select("n", "doc_id", "digest").join(of_digest, "digest")
     return rows.select("n", "doc_id", "class")
@@ -281,14 +299,14 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id and whether the document represents its class."""
-    return classes(docs).select("doc_id", F.col("class").alias("class_id"), (F.col("n") == F.col("class")).alias("representative"))
+    return classes(docs, shared_ids(docs)).select("doc_id", F.col("class").alias("class_id"), (F.col("n") == F.col("class")).alias("representative"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class; columns as they were."""
-    kept = classes(docs).where("n = class").select(F.col("n").alias("_n")).distinct()
-    rows = docs.withColumn("_n", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(whole_text()))).join(kept, "_n", "left_semi")
-    return rows.dropDuplicates(["_n"]).drop("_n")
+    shared = shared_ids(docs)
+    kept = classes(docs, shared).where("n = class").select(F.col("n").alias("_n")).distinct()
+    return _with_number(docs, shared).join(kept, "_n", "left_semi").dropDuplicates(["_n"]).drop("_n")
 
 
 def brute_force(texts: list[str]) -> list[int]:

@@ -217,6 +217,20 @@ def test_near_duplicates_edges(edge, empty):
     assert near_dup.keep_one(edge).columns == edge.columns
 
 
+def test_texts_that_share_an_id_are_judged_by_themselves(spark):
+    rng = random.Random(7)
+    base, lone, other = (words(rng, 80) for _ in range(3))
+    texts = [(1, base), (2, [*base, "tail"]), (2, lone), (2, lone), (3, other), (3, words(rng, 80)), (None, [*other, "tail"])]
+    docs = spark.createDataFrame([(k, i, " ".join(t)) for k, (i, t) in enumerate(texts)], "row long, doc_id long, text string")
+    label = near_dup.brute_force([" ".join(t) for _, t in texts])
+    assert len(set(label)) == 4
+    kept = near_dup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(label[r.row] for r in kept.collect()) == sorted(set(label))
+    of = [r.class_id for r in near_dup.near_duplicates(docs).collect()]
+    assert len(of) == len(texts) and len(set(of)) == 4
+
+
 # -- 5 token counts, 10 token files ------------------------------------------------------
 
 
