@@ -39,8 +39,8 @@ def next_cursor(body: str) -> str:
 class SavedPages(DataSource):
     """``spark.read.format("saved_pages").option("folders", "a,b").load()``: folder, page, body, cursor.
 
-    ``max_pages`` bounds a folder; a page that repeats its cursor, or a missing one that
-    a cursor promises, stops the read with an error, as the harvest is not complete.
+    A folder of more than ``max_pages``, a page that repeats its cursor, or a missing one
+    that a cursor promises, stops the read with an error, as the harvest is not complete.
     """
 
     @classmethod
@@ -68,8 +68,10 @@ class SavedPagesReader(DataSourceReader):
         uri = partition.path if "://" in partition.path else f"file://{partition.path}"
         fs, root = pafs.FileSystem.from_uri(uri)
         names = sorted(f.base_name for f in fs.get_file_info(pafs.FileSelector(root)) if f.is_file)
+        if len(names) > self.max_pages:
+            raise ValueError(f"{partition.path}: {len(names)} pages are more than max_pages, {self.max_pages}")
         seen: set[str] = set()
-        for page, name in enumerate(names[: self.max_pages]):
+        for page, name in enumerate(names):
             with fs.open_input_file(f"{root}/{name}") as source:
                 body = source.read().decode("utf-8")
             cursor = next_cursor(body)

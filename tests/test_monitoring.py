@@ -95,3 +95,14 @@ def test_saved_pages(spark, tmp_path):
     assert [(r.page, r.cursor) for r in read(good).orderBy("page").collect()] == [(0, "t1"), (1, "")]
     with pytest.raises(Exception, match="missing"):
         read(good, torn).count()
+
+
+def test_saved_pages_beyond_the_bound_are_an_error(spark, tmp_path):
+    connectors.register(spark)
+    for k in range(3):
+        (tmp_path / f"{k:04d}").write_text(json.dumps({"next": f"t{k}"} if k < 2 else {}))
+    read = lambda most: spark.read.format("saved_pages").option("folders", str(tmp_path)).option("max_pages", most).load()
+    assert read(3).count() == 3
+    for most in (1, 2):
+        with pytest.raises(Exception, match="max_pages"):
+            read(most).count()
