@@ -103,9 +103,10 @@ def redact_spelled_emails(text: Column, mark: str = "") -> Column:
 
 
 def anonymise(text: Column, names: list[str], mark: str = "") -> Column:
-    """Addresses, ``[~user]`` mentions, greetings, sign-offs and the given names removed."""
+    """Addresses, ``[~user]`` mentions, wiki signatures, greetings, sign-offs and the given names removed."""
     out = redact_spelled_emails(redact_emails(text, mark), mark)
     out = F.regexp_replace(out, r"\[~[^\]]+\]", mark)
+    out = F.regexp_replace(out, r"(?m)^[ \t]*-{2,}[ \t]*(?:Main|TWiki)\.[A-Z]\w*(?:[ \t]*-[ \t]*[^\n]*)?[ \t]*$", mark)
     out = F.regexp_replace(out, r"(?im)^\s*(?:dear|hi|hello)\b[^\n]{0,60}$", mark)
     out = F.regexp_replace(out, r"(?im)^\s*(?:best|kind|regards|cheers|thanks)\b[^\n]{0,60}$", mark)
     for name in sorted(names, key=len, reverse=True):

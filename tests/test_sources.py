@@ -188,6 +188,11 @@ def test_text_functions(spark):
     assert one(spark, T.report_code(F.col("x")), x="XYZ-PAS-ABC-20-001") == "ABC-20-001"
 
 
+def test_wiki_signatures_are_removed(spark):
+    text = "kept\n-- Main.BobRoe - 2020-01-02\n --- TWiki.AnnPoe \nsee Main.BobRoe\n-- main.x"
+    assert one(spark, T.anonymise(F.col("x"), []), x=text) == "kept\n\n\nsee Main.BobRoe\n-- main.x"
+
+
 def test_every_document_is_redacted(spark, tmp_path):
     from graphloom.plans.catalog import QUERIES
 
