@@ -31,12 +31,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from graphloom.llm.common import release, small_batches, whole_text, written
+from graphloom.llm.common import give_back, release, small_batches, unused, whole_text, within, written
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 36, 7
 BROADCAST_ROWS = 1_000_000
 #: Numbers of a sketch.
 SKETCH = 16
+#: Shingles that are hashed at a time, or one text's.
+TOGETHER = 1 << 17
 #: The bands of each round of comparison.
 ROUNDS = ((0, 2), (2, 8), (8, BANDS))
 
@@ -56,7 +58,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 class Shingler:
     """Texts to the 64-bit hashes of their shingles, with a bounded memo of words."""
 
-    def __init__(self, memo_entries: int = 500_000):
+    def __init__(self, memo_entries: int = 200_000):
         self.memo: dict[str, int] = {}
         self.memo_entries = memo_entries
 
@@ -116,15 +118,10 @@ def band_keys(content: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def narrow(hashes: np.ndarray) -> np.ndarray:
-    """The distinct 32-bit shingle hashes, on which similarity is measured."""
-    return np.unique((hashes >> np.uint64(32)).astype(np.uint32))
-
-
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Whether an odd number of a set's narrow hashes falls into each of 64 * SKETCH bins, as bits: rows of SKETCH numbers."""
+    """Whether an odd number of a set's hashes falls into each of 64 * SKETCH bins, as bits: rows of SKETCH numbers."""
     bins = SKETCH * 64
-    odd = np.array([np.bincount(s % np.uint32(bins), minlength=bins) & 1 for s in sets], np.uint8)
+    odd = np.array([np.bincount((s % np.uint64(bins)).astype(np.int64), minlength=bins) & 1 for s in sets], np.uint8)
     return np.packbits(odd, axis=1, bitorder="little").view(np.int64)
 
 
@@ -137,25 +134,32 @@ def unlike(a: str, b: str) -> Column:
 
 
 def shared_ids(docs: DataFrame) -> DataFrame | None:
-    """Numbers (_n) that several texts share, with the text hash that keeps them (_first); None if there are none."""
-    texts = _with_number(docs, None).select("_n", F.xxhash64(whole_text()).alias("_t"))
-    found = written(texts.groupBy("_n").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last")).where("_first <> _last").select("_n", "_first"), "shared-ids")
+    """Numbers (n) that several texts share, with the text hash that keeps them (first); None if there are none."""
+    texts = docs.select(_number().alias("n"), F.xxhash64(whole_text()).alias("t"))
+    several = texts.groupBy("n").agg(F.min("t").alias("first"), F.max("t").alias("last")).where("first <> last")
+    found = written(several.select("n", "first"), "shared-ids")
     count = found.count()
     return (F.broadcast(found) if count <= BROADCAST_ROWS else found) if count else None
 
 
-def _with_number(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
-    """``docs`` with the number ``_n`` of each document."""
-    hashed = F.xxhash64(whole_text())
-    rows = docs.withColumn("_n", F.coalesce(F.col("doc_id").cast("long"), hashed))
+def _number() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(whole_text()))
+
+
+def _with_number(docs: DataFrame, shared: DataFrame | None, name: str) -> DataFrame:
+    """``docs`` with the number of each document in a new column ``name``."""
+    rows = docs.withColumn(name, _number())
     if shared is None:
         return rows
-    keeps = F.col("_first").isNull() | (F.col("_first") == hashed)
-    return rows.join(shared, "_n", "left").withColumn("_n", F.when(keeps, F.col("_n")).otherwise(F.xxhash64("_n", hashed))).drop("_first")
+    first, hashed = unused(rows, "_first"), F.xxhash64(whole_text())
+    keeps = F.col(first).isNull() | (F.col(first) == hashed)
+    both = rows.join(shared.select(F.col("n").alias(name), F.col("first").alias(first)), name, "left")
+    return both.withColumn(name, F.when(keeps, F.col(name)).otherwise(F.xxhash64(name, hashed))).drop(first)
 
 
 def _numbered(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
-    return _with_number(docs, shared).select(F.col("_n").alias("n"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    rows = _with_number(docs.select("doc_id", "text"), shared, "n")
+    return rows.select("n", F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
 
 def signatures(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
@@ -172,30 +176,35 @@ def signatures(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
             some = [k for k, s in enumerate(found) if len(s)]
             keys: list = [[]] * len(texts)
             brief: list = [[]] * len(texts)
-            if some:
-                content = prob_min_hash([found[k] for k in some], [np.ones(len(found[k])) for k in some], BANDS * ROWS)
-                for k, row, short in zip(some, band_keys(content), sketches([narrow(found[k]) for k in some])):
+            for part in within([len(found[k]) for k in some], TOGETHER):
+                sets = [found[k] for k in some[part]]
+                content = prob_min_hash(sets, [np.ones(len(s)) for s in sets], BANDS * ROWS)
+                for k, row, short in zip(some[part], band_keys(content), sketches(sets)):
                     keys[k], brief[k] = row, short
             digests = [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(brief, pa.list_(pa.int64()))], ["n", "doc_id", "digest", "bands", "sketch"])
+        del shingler
+        give_back()
 
     return written(_numbered(docs, shared).mapInArrow(run, "n long, doc_id long, digest binary, bands array<long>, sketch array<long>"), "signatures")
 
 
 def shingle_sets(docs: DataFrame, shared: DataFrame | None, wanted: DataFrame) -> DataFrame:
-    """n and the distinct 32-bit shingle hashes of the wanted documents, as a written table."""
-    small_batches(docs.sparkSession)
+    """n and the distinct 64-bit shingle hashes of the wanted documents, as a written table."""
+    small_batches(docs.sparkSession, 256)
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            sets = [narrow(shingler.of(t)).view(np.int32) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int32()))], ["n", "grams"])
+            sets = [np.unique(shingler.of(t)).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["n", "grams"])
+        del shingler
+        give_back()
 
     rows = _numbered(docs, shared).select("n", "text").join(wanted, "n", "left_semi")
-    return written(rows.mapInArrow(run, "n long, grams array<int>"), "shingles")
+    return written(rows.mapInArrow(run, "n long, grams array<long>"), "shingles")
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -304,9 +313,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class; columns as they were."""
-    shared = shared_ids(docs)
-    kept = classes(docs, shared).where("n = class").select(F.col("n").alias("_n")).distinct()
-    return _with_number(docs, shared).join(kept, "_n", "left_semi").dropDuplicates(["_n"]).drop("_n")
+    shared, number = shared_ids(docs), unused(docs, "_n")
+    kept = classes(docs, shared).where("n = class").select(F.col("n").alias(number)).distinct()
+    return _with_number(docs, shared, number).join(kept, number, "left_semi").dropDuplicates([number]).select(*docs.columns)
 
 
 def brute_force(texts: list[str]) -> list[int]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from graphloom.llm.common import small_batches, whole_text, written
+from graphloom.llm.common import give_back, small_batches, whole_text, written
 from graphloom.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, cls int, nth long"
@@ -57,6 +57,7 @@ def pieces(docs: DataFrame, capacity: int, unit: int, vocabulary: str, end_id: i
             columns = zip(*rows) if rows else [[]] * 8
             kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in PIECES.split(", ")])
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return written(rows.mapInArrow(cut, PIECES), "pieces")

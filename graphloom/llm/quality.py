@@ -8,8 +8,9 @@ two layers in numpy gives a logit; a temperature fitted on rows kept from its tr
 makes probabilities of it.
 
 Fitting uses a sample of labelled rows of at most ``max_train_rows`` (the rows of least
-hash of doc_id), so the model's cost does not grow with the corpus; scoring reads every
-whole text once.  Each fitting task sends one table of ``BUCKETS * DIM`` floats.
+hash of doc_id; of an id's texts the least), so the model's cost does not grow with the
+corpus; scoring reads every whole text once.  Context sums are whole numbers added up by
+parts of the table, so neither the order of rows nor the number of tasks changes them.
 
 Null and empty texts get the score of a document without words.  Repeated rows are
 scored alike; null doc ids stay; of a text only its characters count.  A doc id with
@@ -28,28 +29,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from graphloom.llm.common import small_batches, whole_text, written
+from graphloom.llm.common import give_back, small_batches, whole_text, written
 
 BUCKETS, DIM, NONZERO, WINDOW, SEED = 1 << 14, 64, 6, 2, 20_240_917
 WIDTH = 2 * DIM + 4
 MAX_TRAIN_ROWS = 8_000
+#: Words of a text whose neighbours are added up at a time; rows of buckets that travel together.
+BLOCK, PART = 1 << 15, 1 << 10
 _WORDS = re.compile(r"\w+|[^\w\s]+").findall
 
 
 def index_vectors() -> np.ndarray:
-    """Each bucket's sparse ternary vector, the same wherever it is drawn."""
+    """Each bucket's sparse vector of -1, 0 and 1, the same wherever it is drawn."""
     draw = np.random.default_rng(SEED)
-    out = np.zeros((BUCKETS, DIM), np.float32)
+    out = np.zeros((BUCKETS, DIM), np.int32)
     places = draw.random((BUCKETS, DIM)).argpartition(NONZERO, axis=1)[:, :NONZERO]
-    signs = draw.choice(np.array([-1, 1], np.float32), (BUCKETS, NONZERO))
-    np.put_along_axis(out, places, signs / np.sqrt(NONZERO), axis=1)
+    np.put_along_axis(out, places, draw.choice(np.array([-1, 1], np.int32), (BUCKETS, NONZERO)), axis=1)
     return out
 
 
 class Buckets:
     """Texts to bucket numbers, with a bounded memo of words."""
 
-    def __init__(self, memo_entries: int = 500_000):
+    def __init__(self, memo_entries: int = 200_000):
         self.memo: dict[str, int] = {}
         self.memo_entries = memo_entries
 
@@ -63,17 +65,18 @@ class Buckets:
 
 
 def add_contexts(total: np.ndarray, buckets: np.ndarray, index: np.ndarray) -> None:
-    """Add to each word's row the index vectors of the words within the window."""
-    n = len(buckets)
-    around = np.zeros((n, DIM), np.float32)
-    vectors = index[buckets]
-    for k in range(1, min(WINDOW, n - 1) + 1):
-        around[k:] += vectors[:-k]
-        around[:-k] += vectors[k:]
-    order = np.argsort(buckets, kind="stable")
-    which, first = np.unique(buckets[order], return_index=True)
-    if n:
-        total[which] += np.add.reduceat(around[order], first, axis=0)
+    """Add to each word's row the index vectors of the words within the window: whole numbers, so order is nothing."""
+    for first in range(0, len(buckets), BLOCK):
+        before = max(0, first - WINDOW)
+        near = buckets[before : first + BLOCK + WINDOW]
+        vectors, around = index[near], np.zeros((len(near), DIM), np.int32)
+        for k in range(1, min(WINDOW, len(near) - 1) + 1):
+            around[k:] += vectors[:-k]
+            around[:-k] += vectors[k:]
+        own = slice(first - before, first - before + min(BLOCK, len(buckets) - first))
+        order = np.argsort(near[own], kind="stable")
+        which, start = np.unique(near[own][order], return_index=True)
+        total[which] += np.add.reduceat(around[own][order], start, axis=0)
 
 
 def pooled(buckets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -81,8 +84,9 @@ def pooled(buckets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     out = np.zeros(WIDTH, np.float32)
     n = len(buckets)
     if n:
-        mean = vectors[buckets].mean(axis=0)
-        distinct = len(np.unique(buckets))
+        which, times = np.unique(buckets, return_counts=True)
+        mean = (times / n).astype(np.float32) @ vectors[which]
+        distinct = len(which)
         out[: 2 * DIM] = mean
         # The mean index vector's squared length estimates how often two words agree.
         out[2 * DIM :] = np.log(float(mean[:DIM] @ mean[:DIM]) + 1e-4), np.log1p(n), distinct / n, np.log1p(n) - np.log1p(distinct)
@@ -158,7 +162,7 @@ def train(features: np.ndarray, labels: np.ndarray, vectors: np.ndarray, hidden:
 def word_vectors(contexts: np.ndarray) -> np.ndarray:
     """Index vectors beside context vectors of unit length."""
     length = np.linalg.norm(contexts, axis=1, keepdims=True)
-    return np.hstack([index_vectors(), contexts / np.maximum(length, 1e-6)]).astype(np.float32)
+    return np.hstack([index_vectors() / np.sqrt(NONZERO), contexts / np.maximum(length, 1e-6)]).astype(np.float32)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, learn) -> DataFrame:
@@ -166,8 +170,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, learn) ->
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & learn(F.col("doc_id")))
     ids = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    # The ids are bounded by max_rows, so one side of the join is broadcast.
-    sample = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id").select("label", "text")
+    # The ids are bounded by max_rows, so one side of the join is broadcast; of an id's texts the least teaches.
+    rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id")
+    sample = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text")
     return written(sample, "quality-sample")
 
 
@@ -177,15 +182,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
     sample = labelled_sample(docs, labels, max_train_rows, learn).repartition(tasks)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, index, words = np.zeros((BUCKETS, DIM), np.float32), index_vectors(), Buckets()
+        total, index, words = np.zeros((BUCKETS, DIM), np.int64), index_vectors(), Buckets()
         for batch in batches:
             for text in batch.column(1).to_pylist():
                 add_contexts(total, words.of(text), index)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
-
-    total = np.zeros((BUCKETS, DIM), np.float32)
-    for row in sample.mapInArrow(contexts, "sums binary").toLocalIterator():
-        total += np.frombuffer(row.sums, np.float32).reshape(BUCKETS, DIM)
+        parts = [total[k : k + PART].tobytes() for k in range(0, BUCKETS, PART)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["part", "sums"])
+
+    def added(group: pa.Table) -> pa.Table:
+        total = np.zeros(PART * DIM, np.int64)
+        for sums in group.column("sums"):
+            total += np.frombuffer(sums.as_buffer(), np.int64)
+        return pa.table({"part": pa.array([group.column("part")[0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    # Each part is added up where it lies; the driver gets one table of sums, whatever the tasks.
+    total = np.zeros((BUCKETS, DIM), np.int64)
+    for row in sample.mapInArrow(contexts, "part int, sums binary").groupBy("part").applyInArrow(added, "part int, sums binary").toLocalIterator():
+        total[row.part * PART : (row.part + 1) * PART] = np.frombuffer(row.sums, np.int64).reshape(PART, DIM)
     vectors = word_vectors(total)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
@@ -212,6 +225,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             rows = [pooled(words.of(text), model.vectors) for text in batch.column(1).to_pylist()]
             found = model.scores(np.array(rows, np.float32).reshape(-1, WIDTH))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
+        del words
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, "doc_id long, score double")
 
@@ -229,6 +244,8 @@ def keep_good(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
             rows = [pooled(words.of(x or ""), model.vectors) for x in batch.column(text).to_pylist()]
             found = model.scores(np.array(rows, np.float32).reshape(-1, WIDTH))
             yield batch.filter(pa.array(found >= threshold))
+        del words
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -8,7 +8,8 @@ the cuts tore apart: the running count of end ids numbers the documents, the run
 maximum of their positions gives each block's first document its start.
 
 Ids after a file's last end id form a document with ``terminated`` false; a file of no
-ids gives no row.
+ids gives no row.  ``write_flat`` encodes the end marker's string within a text as text,
+since its id there would end a document that goes on.  An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def write_flat(docs: DataFrame, folder: str, vocabulary: str = DEFAULT_VOCABULAR
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"flat-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.ids"
         fs, root = pafs.FileSystem.from_uri(folder)
-        enc, end, out, at = encoder(vocabulary, dtype), np.array([end_id], dtype).tobytes(), None, 0
+        enc, end, out, at = encoder(vocabulary, dtype, markers_as_text=True), np.array([end_id], dtype).tobytes(), None, 0
         for batch in batches:
             if out is None:
                 fs.create_dir(root, recursive=True)

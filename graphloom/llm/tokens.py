@@ -4,12 +4,17 @@ The pre-tokenizer of the byte-level vocabularies always cuts before a space that
 non-space follows, around a single line feed between non-spaces, and between a letter
 or digit and a mark.  A text whose white space is only of those two kinds is therefore
 the concatenation of its space-led pieces, and each distinct piece is encoded once per
-worker.  Any other text goes to the library whole.  Both ways give ``encode(text)``.
+worker.  Any other text goes to the library whole, as does every text of a vocabulary
+with another pre-tokenizer.  Both ways give ``encode(text)``.
+
+The string of an added token (an end marker, say) within a text gives that token's id,
+as is the library's default, unless ``markers_as_text``.
 """
 
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 
@@ -26,6 +31,12 @@ _IRREGULAR = (
     r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 _ENCODERS: dict[tuple, "Encoder"] = {}
+#: What a remembered piece takes beside its letters: two objects and a place in the table.
+ENTRY_BYTES = 180
+#: Ids that are put in place at a time.
+GATHER = 1 << 18
+#: Letters that are given to the library at a time, or one text.
+LETTERS = 1 << 18
 
 
 def vocabulary_path(name: str) -> str:
@@ -37,45 +48,63 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4") -> "Encoder":
+def encoder(vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4", markers_as_text: bool = False) -> "Encoder":
     """This worker's encoder; its memo serves one task after another."""
-    if (vocabulary, dtype) not in _ENCODERS:
-        _ENCODERS[vocabulary, dtype] = Encoder(vocabulary, dtype)
-    return _ENCODERS[vocabulary, dtype]
+    key = (vocabulary, dtype, markers_as_text)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()  # one memo a worker
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 class Encoder:
     """Encodes texts to little-endian id bytes of the given width (2 or 4).
 
-    ``memo_entries`` bounds each of two generations of remembered pieces: when the
-    young one is full it becomes the old one, from which used pieces come back.
+    ``memo_bytes`` bounds each of two generations of remembered pieces, by an estimate
+    of what a piece and its ids take: when the young one is full it becomes the old
+    one, from which used pieces come back.
     """
 
-    def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4", memo_entries: int = 600_000):
+    def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4", markers_as_text: bool = False, memo_bytes: int = 64 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         # Many small strings that are kept: collecting garbage as often as usual finds none.
         gc.set_threshold(200_000, 20, 100)
-        self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self.tokenizer.encode_special_tokens = True
+        path = vocabulary_path(vocabulary)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = markers_as_text
+        with open(path, encoding="utf-8") as source:
+            described = json.load(source)
+        before = described.get("pre_tokenizer") or {}
+        self.by_pieces = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not described.get("normalizer")
+        added = [re.escape(x["content"]) for x in described.get("added_tokens", [])]
+        self.whole = "|".join([_IRREGULAR, *added])
         self.dtype = np.dtype(dtype)
         if self.dtype.itemsize == 2 and self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("this vocabulary needs four-byte ids")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.memo_entries = memo_entries
+        self.memo_bytes, self.held = memo_bytes, 0
 
     def direct(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in got]
+        out: list[bytes] = []
+        first, size = 0, 0
+        for k, text in enumerate(texts):  # the library's results are large: a bounded number of letters at a time
+            size += len(text) + 8
+            if size > LETTERS or k + 1 == len(texts):
+                got = self.tokenizer.encode_batch_fast(texts[first : k + 1], add_special_tokens=False)
+                out += [np.array(x.ids, self.dtype).tobytes() for x in got]
+                first, size = k + 1, 0
+        return out
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces, each remembered."""
-        if len(self.young) > self.memo_entries:
-            self.young, self.old = {}, self.young
+        if self.held > self.memo_bytes:
+            self.young, self.old, self.held = {}, self.young, 0
         young, old = self.young, self.old
         fresh = [w for w in pieces if w not in young]
+        self.held += ENTRY_BYTES * len(fresh) + sum(map(len, fresh))
         plain, marked = set(), []
         for w in fresh:
             if (known := old.get(w)) is not None:
@@ -99,22 +128,30 @@ class Encoder:
         parts = pc.split_pattern(led, " ")
         coded = parts.flatten().dictionary_encode()
         bodies = self._learn(coded.dictionary.to_pylist())
-        size = self.dtype.itemsize
-        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) // size
+        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) // self.dtype.itemsize
         starts = np.cumsum(sizes) - sizes
         which = coded.indices.to_numpy()
-        lengths = sizes[which]
-        ends = np.cumsum(lengths)
-        places = np.arange(ends[-1]) + np.repeat(starts[which] - (ends - lengths), lengths)
-        raw = np.frombuffer(b"".join(bodies), self.dtype)[places].tobytes()
-        stops = (ends[np.cumsum(pc.list_value_length(parts).to_numpy()) - 1] * size).tolist()
-        return [raw[x:y] for x, y in zip([0, *stops], stops)]
+        ids = np.frombuffer(b"".join(bodies), self.dtype)
+        stops = np.cumsum(pc.list_value_length(parts).to_numpy())
+        out: list[bytes] = []
+        first, row = 0, 0
+        while row < len(stops):  # rows of about GATHER pieces at a time, so what is held beside the ids stays small
+            after = max(row + 1, int(np.searchsorted(stops, first + GATHER)))
+            chosen = which[first : stops[after - 1]]
+            lengths = sizes[chosen]
+            ends = np.cumsum(lengths)
+            places = np.arange(ends[-1]) + np.repeat(starts[chosen] - (ends - lengths), lengths)
+            raw = ids[places]
+            edges = [0, *ends[stops[row:after] - first - 1].tolist()]
+            out += [raw[x:y].tobytes() for x, y in zip(edges, edges[1:])]
+            first, row = int(stops[after - 1]), after
+        return out
 
     def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
         """The ids of each text as bytes; an empty text has none."""
         column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         empty = pc.equal(pc.binary_length(column), 0)
-        irregular = pc.and_not(pc.match_substring_regex(column, _IRREGULAR), empty)
+        irregular = pc.and_not(pc.match_substring_regex(column, self.whole) if self.by_pieces else pa.array(np.ones(len(column), bool)), empty)
         out: list[bytes] = [b""] * len(column)
         regular = pc.invert(pc.or_(empty, irregular))
         for chosen, way in ((regular, self._piecewise), (irregular, lambda x: self.direct(x.to_pylist()))):

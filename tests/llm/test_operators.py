@@ -42,6 +42,16 @@ def empty(edge):
     return edge.where("false")
 
 
+def library_ids(texts: list[str | None], markers_as_text: bool = False) -> list[list[int]]:
+    """What the tokenizers library itself gives, by a tokenizer of its own."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = markers_as_text
+    return [x.ids for x in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
 def words(rng: random.Random, n: int, pool: int = 4000) -> list[str]:
     return [f"w{rng.randrange(pool)}" for _ in range(n)]
 
@@ -245,8 +255,8 @@ def test_scan_stitches_blocks(spark, tmp_path, block):
 
 
 def test_counts_equal_the_tokenizers(edge, empty):
-    encoder = Encoder()
-    want = sorted((i or 0, len(x.ids)) for (i, _), x in zip(EDGE, encoder.tokenizer.encode_batch([t or "" for _, t in EDGE], add_special_tokens=False)))
+    # An end marker's string within a text must not end its document.
+    want = sorted((i or 0, len(ids)) for (i, _), ids in zip(EDGE, library_ids([t for _, t in EDGE], markers_as_text=True)))
     assert sorted((r.doc_id or 0, r.n_tokens) for r in token_counts.token_counts(edge).collect()) == want
     assert token_counts.token_counts(empty).count() == 0
 
@@ -257,15 +267,32 @@ TEXT = st.text(alphabet="ab é\n.,'s1 \t <|>_", max_size=40)
 @settings(max_examples=150, deadline=None)
 @given(st.lists(TEXT, max_size=6))
 def test_pieces_encode_like_whole_texts(texts):
-    encoder = Encoder(memo_entries=20)
+    encoder = Encoder(memo_bytes=2000)
     assert encoder.encode(texts) == encoder.direct(texts) and encoder.encode(texts) == encoder.direct(texts)
 
 
+@pytest.mark.parametrize("markers_as_text", [False, True])
+def test_ids_are_the_librarys(markers_as_text):
+    texts = [t for _, t in EDGE] + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z", " ".join(f"w{k % 97}," for k in range(300_000))]
+    got = Encoder(markers_as_text=markers_as_text).encode([t or "" for t in texts])
+    want = library_ids(texts, markers_as_text)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    assert (50256 in want[-4]) is not markers_as_text
+
+
+def test_vocabularies_of_other_kinds_go_to_the_library_whole():
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    texts = ["Two Words here", "a  b", ""]
+    want = [x.ids for x in Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in Encoder("word_bpe_49k.json").encode(texts)] == want
+
+
 def test_token_files_round_trip(edge, empty):
-    encoder = Encoder()
     rows = sorted(token_files.token_files(edge).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == sorted([i for i, _ in EDGE], key=lambda i: (i is not None, i or 0))
-    bodies = {i: encoder.direct([t or ""])[0] + struct.pack("<I", 2) for i, t in EDGE if i is not None}
+    bodies = {i: np.array([*ids, 2], "<u4").tobytes() for (i, _), ids in zip(EDGE, library_ids([t for _, t in EDGE])) if i is not None}
     at = 0
     for r in rows:
         assert r.start == at
@@ -305,9 +332,8 @@ def test_packing_keeps_every_id_once(spark):
     rows = [(i, " ".join(words(rng, rng.choice([0, 1, 5, 30, 200, 900])))) for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = packing.pack(docs, capacity=256, unit=8).toPandas()
-    encoder = Encoder()
-    for i, text in rows:
-        ids = encoder.direct([text])[0] + struct.pack("<I", 1)
+    for (i, _), found in zip(rows, library_ids([t for _, t in rows])):
+        ids = np.array([*found, 1], "<u4").tobytes()
         mine = got[got.doc_id == i].sort_values("start")
         at = 0
         for p in mine.itertuples():
@@ -326,6 +352,8 @@ def test_cutting_stock_finds_the_linear_optimum():
 
 def test_packing_edges(edge, empty):
     got = packing.pack(edge).toPandas()
+    want = {i: [*ids, 1] for (i, _), ids in zip(EDGE, library_ids([t for _, t in EDGE])) if i is not None}
+    assert got[got.doc_id.notna()].doc_tokens.tolist() == [len(want[i]) for i in got[got.doc_id.notna()].doc_id]
     assert got[got.start == 0].shape[0] == len(EDGE) and packing.pack(empty).count() == 0
 
 
