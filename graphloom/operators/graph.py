@@ -55,15 +55,10 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None)
     return visited
 
 
-def ancestors_kept(parents: DataFrame, seeds: list[str], max_depth: int = 50) -> str:
-    """SQL of the nodes below the seeds in a table of (node, parent): a recursive union."""
-    listed = ", ".join("'" + s.replace("'", "''") + "'" for s in seeds)
-    parents.createOrReplaceTempView("_parents")
-    return (
-        f"with recursive below(node, depth) as (select distinct node, 0 from _parents where node in ({listed}) union all "
-        f"select p.node, b.depth + 1 from below b join _parents p on p.parent = b.node where p.node not in ({listed}) and b.depth < {max_depth}) "
-        "select node, min(depth) depth from below group by node"
-    )
+def ancestors_kept(parents: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataFrame:
+    """node and depth of what lies below the seeds in a table of (node, parent), each node once, at its least depth."""
+    edges = parents.where("parent is not null").select(F.col("parent").alias("src"), F.col("node").alias("dst"))
+    return reachable(edges, seeds.select(F.col("node").alias("node_id")), max_depth).select(F.col("node_id").alias("node"), "depth")
 
 
 def expand(edges: DataFrame, nodes: DataFrame, path: list[tuple[str, str]]) -> DataFrame:
@@ -87,18 +82,17 @@ def chunks(df: DataFrame, key: str, text: str, size: int = 4000, overlap: int =
     """Overlapping windows of a text, stripped, blank ones left out: key, idx, char_offset, char_end, chunk.
 
     A window begins every ``size - overlap`` characters until one reaches the end; the
-    offset is that of the stripped chunk in the text.
+    offset is that of the stripped chunk in the text.  A text's chunks are one array of
+    its own row, so numbering them shuffles nothing and no chunk carries the whole text.
     """
     from graphloom.functions.text import lstrip, no_nul, strip
 
     step = size - overlap
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length(text) - 1), F.lit(step))
-    windows = df.where(F.length(text) > 0).select(key, F.col(text).alias("_text"), F.explode(starts).alias("_o"))
-    windows = windows.where((F.col("_o") == 0) | (F.col("_o") - step + size < F.length("_text")))
-    windows = windows.select(key, "_o", F.substring("_text", F.col("_o") + 1, F.lit(size)).alias("_w"))
-    cut = windows.select(key, (F.col("_o") + F.length("_w") - F.length(lstrip(F.col("_w")))).alias("char_offset"), no_nul(strip(F.col("_w"))).alias("chunk")).where("chunk <> ''")
-    idx = F.row_number().over(Window.partitionBy(key).orderBy("char_offset")) - 1
-    return cut.select(key, idx.alias("idx"), "char_offset", (F.col("char_offset") + F.length("chunk")).alias("char_end"), "chunk")
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length(text) - overlap - 1), F.lit(step))
+    cut = F.transform(starts, lambda o: F.struct(o.alias("o"), F.substring(F.col(text), o + 1, F.lit(size)).alias("w")))
+    stripped = F.transform(cut, lambda c: F.struct((c["o"] + F.length(c["w"]) - F.length(lstrip(c["w"]))).alias("at"), no_nul(strip(c["w"])).alias("chunk")))
+    windows = df.where(F.length(text) > 0).select(key, F.posexplode(F.filter(stripped, lambda c: c["chunk"] != "")).alias("idx", "_c"))
+    return windows.select(key, "idx", F.col("_c.at").alias("char_offset"), (F.col("_c.at") + F.length("_c.chunk")).alias("char_end"), F.col("_c.chunk").alias("chunk"))
 
 
 def stitch(chunked: DataFrame, key: str) -> DataFrame:

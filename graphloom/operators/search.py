@@ -22,12 +22,12 @@ def bm25(docs: DataFrame, key: str, text: str, query: str, k: int) -> DataFrame:
     """
     wanted = sorted(set(re.findall(r"\w+", query.lower())))
     words = docs.select(key, tokens(F.col(text)).alias("_words"))
-    stats = words.agg(F.count(F.lit(1)).alias("_n"), F.avg(F.size("_words")).alias("_avg"))
-    counted = words.select(key, F.size("_words").alias("_len"), F.explode(F.array(*map(F.lit, wanted))).alias("_term"), "_words")
-    counted = counted.select(key, "_len", "_term", F.size(F.filter("_words", lambda w: w == F.col("_term"))).alias("_tf")).where("_tf > 0")
-    df = counted.groupBy("_term").agg(F.count(F.lit(1)).alias("_df"))
-    # One row of statistics and one row a query term: both bounded, whatever the corpus.
-    joined = counted.join(F.broadcast(df), "_term").join(F.broadcast(stats))
+    # One pass for the statistics, a row of them whatever the corpus; one for the scores. Words never leave their row.
+    dfs = F.create_map(*[x for t in wanted for x in (F.lit(t), F.sum(F.array_contains("_words", t).cast("long")))])
+    stats = words.agg(F.count(F.lit(1)).alias("_n"), F.avg(F.size("_words")).alias("_avg"), dfs.alias("_dfs"))
+    held = F.transform(F.array(*map(F.lit, wanted)), lambda t: F.struct(t.alias("term"), F.size(F.filter("_words", lambda w: w == t)).alias("tf")))
+    counted = words.select(key, F.size("_words").alias("_len"), F.filter(held, lambda x: x["tf"] > 0).alias("_held")).where(F.size("_held") > 0)
+    joined = counted.join(F.broadcast(stats)).select("*", F.explode("_held").alias("_h")).select(key, "_len", "_n", "_avg", F.col("_h.tf").alias("_tf"), F.element_at("_dfs", F.col("_h.term")).alias("_df"))
     idf = F.log(1 + (F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     part = idf * F.col("_tf") * (K1 + 1) / (F.col("_tf") + K1 * (1 - B + B * F.col("_len") / F.col("_avg")))
     return joined.groupBy(key).agg(F.sum(part).alias("score")).orderBy(F.desc("score"), key).limit(k)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from graphloom.functions import text as T
+from graphloom.functions import redaction as D, text as T
 from graphloom.operators import graph as G, relational as R, search as S
 from graphloom.streaming import runs
 
@@ -208,7 +208,7 @@ def bounded_walk(t):
 def parent_closure(t):
     key = F.col("p_partkey")
     parents = t("part").select(F.concat(F.lit("n"), key.cast("string")).alias("node"), F.when(key > 3, F.concat(F.lit("n"), F.floor(key / 3).cast("string"))).alias("parent"))
-    return parents.sparkSession.sql(G.ancestors_kept(parents, ["n3"]))
+    return G.ancestors_kept(parents, parents.sparkSession.createDataFrame([("n3",)], "node string"))
 
 
 @query("""select distinct c_custkey start, l_partkey "end" from customer join orders on c_custkey = o_custkey join lineitem on o_orderkey = l_orderkey where c_nationkey = 3""")
@@ -239,21 +239,17 @@ def json_path(t):
     return t("events").select("event_type", keys).groupBy("event_type", "field").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(r"select doc_id, sha256(regexp_replace(text, '(?i)\b[a-fh-z0-9._%+-][a-z0-9._%+-]*@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}\b', '', 'g')) digest from documents where text not like '%git@%' and text not like '%g%@%'")
+@query(r"select doc_id, sha256(replace(regexp_replace(regexp_replace(text, '(^|[^a-zA-Z0-9._%+-])git@', '\1git' || chr(1), 'g'), '(?i)\b[a-z0-9._%+-]+@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}\b', '', 'g'), chr(1), '@')) digest from documents")
 def email_redact(t):
-    rows = t("documents").where("text not like '%git@%' and text not like '%g%@%'")
-    return rows.select("doc_id", F.sha2(T.redact_emails(F.col("text")), 256).alias("digest"))
-
-
-@query()
-def email_redact_all(t):
-    """Every document; ``email_redact`` holds only the rows on which its oracle needs no lookahead."""
+    """The plain written form, as an expression of the engine; ``redact_documents`` knows every form."""
     return t("documents").select("doc_id", F.sha2(T.redact_emails(F.col("text")), 256).alias("digest"))
 
 
 @query()
 def anonymise(t):
-    return t("documents").select("doc_id", F.sha2(T.anonymise(F.col("text"), []), 256).alias("digest"))
+    """Names are a bounded list that the caller gives: here those of the nations."""
+    names = [r.n_name for r in t("nation").select("n_name").limit(100).collect()]
+    return t("documents").select("doc_id", F.sha2(D.anonymise(F.col("text"), names), 256).alias("digest"))
 
 
 @query("select n_nationkey, slug from (select n_nationkey, trim(regexp_replace(lower(n_name), '[^a-z0-9]+', '_', 'g'), '_') slug from nation)")
@@ -287,9 +283,12 @@ def run_health(t):
     return runs.health(t("events"), F.col("value") < 0, "reconcile")
 
 
-@query("""with w as (select doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') ws from documents), s as (select count(*) n, avg(len(ws)) a from w),
-c as (select doc_id, len(ws) l, q, len(list_filter(ws, lambda x: x = q)) tf from w, (select unnest(['ention', 'there', 'heoron']) q)), d as (select q, count(*) df from c where tf > 0 group by q)
-select doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / a))), 6) score from c join d using (q), s where tf > 0 group by doc_id order by score desc, doc_id limit 20""")
+_BM25_SQL = """w as (select doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') ws from documents), s as (select count(*) n, avg(len(ws)) a from w),
+c as (select doc_id, len(ws) l, q, len(list_filter(ws, lambda x: x = q)) tf from w, (select unnest(['ention', 'there', 'heoron']) q)), d as (select q, count(*) df from c where tf > 0 group by q),
+lexical as (select doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / a))) score from c join d using (q), s where tf > 0 group by doc_id)"""
+
+
+@query(f"with {_BM25_SQL} select doc_id, round(score, 6) score from lexical order by round(score, 6) desc, doc_id limit 20")
 def bm25_topk(t):
     return S.bm25(t("documents"), "doc_id", "text", "ention there heoron", 20).select("doc_id", F.round("score", 6).alias("score"))
 
@@ -303,11 +302,14 @@ def vector_topk(t):
     return S.vector_top(t("embeddings"), "vec_id", "embedding", _first_vector(t), 20).select("vec_id", F.round("score", 6).alias("score"))
 
 
-@query()
+@query(f"""with {_BM25_SQL}, l as (select * from lexical order by score desc, doc_id limit 50), q as (select embedding e from embeddings order by vec_id limit 1),
+v as (select vec_id doc_id, list_cosine_similarity(embedding::double[], e::double[]) score from embeddings, q order by 2 desc, 1 limit 50),
+b as (select doc_id, score / (select max(score) from l) * 0.6 score from l union all select doc_id, score / (select max(score) from v) * 0.4 from v)
+select doc_id, round(sum(score), 6) score from b group by doc_id order by sum(score) desc, doc_id limit 5""")
 def hybrid_topk(t):
     lexical = S.bm25(t("documents"), "doc_id", "text", "ention there heoron", 50)
     semantic = S.vector_top(t("embeddings"), "vec_id", "embedding", _first_vector(t), 50).withColumnRenamed("vec_id", "doc_id")
-    return S.hybrid_top(lexical, semantic, "doc_id", 5)
+    return S.hybrid_top(lexical, semantic, "doc_id", 5).select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query("select doc_id from documents where contains(lower(text), 'there') and not contains(lower(text), 'heoron')")

@@ -6,7 +6,6 @@ turns a broken export into an empty one, because an empty run could retract a gr
 
 from __future__ import annotations
 
-import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,59 +22,98 @@ class CacheUnusable(Exception):
         self.status = status
 
 
-def _content(spark: SparkSession, path: str) -> str:
+def _guarded(spark: SparkSession, path: str, expect: str, allow_empty: bool = False) -> DataFrame:
+    """One row ``value``, the whole text of an export that is a JSON ``expect`` (list or object).
+
+    Only a status comes to the driver; the text is read, checked and parsed on executors.
+    """
     from pyspark.errors import AnalysisException
 
     try:
-        rows = spark.read.format("binaryFile").load(path).select("content").limit(2).collect()
+        files = spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
         raise CacheUnusable("cache_missing", f"{path} cannot be found") from error
-    if len(rows) != 1:
-        raise CacheUnusable("cache_missing", f"{path} is not one file")
+    texts = files.select(F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"), F.col("content").cast("string").alias("value"))
+    bare = strip(F.col("value"))
+    kind = (
+        F.when(~F.col("utf8"), "bytes")
+        .when(bare == "", "blank")
+        .when(bare.startswith("[") & bare.endswith("]") & F.from_json(bare, "array<string>").isNotNull(), "list")
+        .when(bare.startswith("{") & bare.endswith("}") & F.from_json(bare, "map<string,string>").isNotNull(), "object")
+        .when(bare.rlike(r"""\A(?:-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|"(?:[^"\\]|\\.)*")\z"""), "scalar")
+        .otherwise("broken")
+    )
+    size = F.when(kind == "list", F.size(F.from_json(bare, "array<string>"))).when(kind == "object", F.size(F.from_json(bare, "map<string,string>")))
+    found = texts.select(kind.alias("kind"), size.alias("size")).limit(2).collect()
+    if len(found) != 1 or found[0].kind in ("bytes", "blank", "broken"):
+        why = {"bytes": "is not UTF-8", "blank": "is empty", "broken": "is not JSON"}.get(found[0].kind if len(found) == 1 else "", "is not one file")
+        raise CacheUnusable("cache_missing", f"{path} {why}")
+    if found[0].kind != expect:
+        raise CacheUnusable("endpoint_failed", f"{path} holds a JSON {found[0].kind}, not a JSON {expect}")
+    if not found[0].size and not allow_empty:
+        raise CacheUnusable("cache_missing", f"{path} holds an empty JSON {expect}")
+    return texts.select(bare.alias("value"))
+
+
+def json_rows(spark: SparkSession, path: str, unwrap: tuple[str, ...] = (), allow_empty: bool = False) -> DataFrame:
+    """input_pos and raw (an object's JSON text, null for any other item) of a JSON list.
+
+    ``unwrap`` names keys under which an object may hold the list instead.
+    """
     try:
-        text = bytes(rows[0].content).decode("utf-8")
-    except UnicodeDecodeError as error:
-        raise CacheUnusable("cache_missing", f"{path} is not UTF-8") from error
-    if not text.strip():
-        raise CacheUnusable("cache_missing", f"{path} is empty")
-    return text
+        text = _guarded(spark, path, "list", allow_empty)
+    except CacheUnusable as error:
+        if not unwrap or error.status != "endpoint_failed" or "JSON object" not in str(error):
+            raise
+        held = _guarded(spark, path, "object").select(F.coalesce(*[F.get_json_object("value", f"$.{k}") for k in unwrap]).alias("value"))
+        size = held.select(F.size(F.from_json("value", "array<string>"))).first()[0]
+        if size is None or size < 0:
+            raise
+        if not size and not allow_empty:
+            raise CacheUnusable("cache_missing", f"{path} holds no records") from None
+        text = held
+    return rows_of_text(text)
+
+
+def rows_of_text(text: DataFrame) -> DataFrame:
+    """input_pos and raw of the items of JSON lists (value)."""
+    each = text.select(F.posexplode(F.from_json("value", "array<string>")).alias("input_pos", "raw"))
+    return each.select(F.col("input_pos").cast("long").alias("input_pos"), F.when(F.ltrim("raw").startswith("{"), F.col("raw")).alias("raw"))
 
 
 def json_list(spark: SparkSession, path: str, item: StructType, unwrap: tuple[str, ...] = ()) -> DataFrame:
-    """A JSON list of objects as rows with ``input_pos``; items that are not objects come as null ``item``.
-
-    ``unwrap`` names keys under which an object may hold the list.  An export is one
-    file of one document; its size is the exporter's page or dump.
-    """
-    text = _content(spark, path)
-    try:
-        payload = json.loads(text)
-    except ValueError as error:
-        raise CacheUnusable("cache_missing", f"{path} is not JSON") from error
-    for key in unwrap:
-        if isinstance(payload, dict) and isinstance(payload.get(key), list):
-            payload = payload[key]
-    if not isinstance(payload, list):
-        raise CacheUnusable("endpoint_failed", f"{path} holds {type(payload).__name__}, not a list")
-    if not payload:
-        raise CacheUnusable("cache_missing", f"{path} holds no records")
-    rows = [(k, json.dumps(x) if isinstance(x, dict) else None) for k, x in enumerate(payload)]
-    return spark.createDataFrame(rows, "input_pos long, raw string").select("input_pos", F.from_json("raw", item).alias("item"))
+    """A JSON list of objects as rows with ``input_pos``; items that are not objects come as null ``item``."""
+    return json_rows(spark, path, unwrap).select("input_pos", F.from_json("raw", item).alias("item"))
 
 
 def json_objects(spark: SparkSession, path: str, value: DataType, key_pattern: str = r".+") -> DataFrame:
-    """A JSON object keyed by name as rows (name, item); an error body is refused."""
-    text = _content(spark, path)
-    try:
-        payload = json.loads(text)
-    except ValueError as error:
-        raise CacheUnusable("cache_missing", f"{path} is not JSON") from error
-    if not isinstance(payload, dict) or "error" in payload or "errors" in payload:
+    """A JSON object keyed by name as rows (name, item); an error body is refused.
+
+    A value that is no object is a null ``item``: a row to skip and to count.
+    """
+    text = _guarded(spark, path, "object")
+    entries = text.select(F.posexplode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("input_pos", "e"))
+    rows = entries.select(F.col("input_pos").cast("long").alias("input_pos"), F.col("e.key").alias("name"), F.when(F.ltrim("e.value").startswith("{"), F.col("e.value")).alias("raw"))
+    seen = rows.agg(F.bool_or(F.col("name").isin("error", "errors")).alias("error"), F.bool_or(F.col("name").rlike(rf"\A(?:{key_pattern})\z")).alias("named")).first()
+    if seen.error:
         raise CacheUnusable("endpoint_failed", f"{path} is not an object of records")
-    if not any(re.fullmatch(key_pattern, k) for k in payload):
+    if not seen.named:
         raise CacheUnusable("endpoint_failed", f"no key of {path} looks like a name")
-    rows = [(k, n, json.dumps(x) if isinstance(x, dict) else None) for k, (n, x) in enumerate(payload.items())]
-    return spark.createDataFrame(rows, "input_pos long, name string, raw string").select("input_pos", "name", F.from_json("raw", value).alias("item"))
+    return rows.select("input_pos", "name", F.from_json("raw", value).alias("item"))
+
+
+def row_arrays(text: DataFrame, fields: list[str], key: str = "result") -> DataFrame:
+    """Rows of ``{key: [[a, b, c], ...]}`` texts (value) as columns, with ``skip`` for rows of another length.
+
+    A text without such a list raises when it is read.
+    """
+    listed = F.from_json(F.get_json_object("value", f"$.{key}"), "array<string>")
+    checked = F.when(listed.isNotNull() & (F.size(listed) > 0), listed).otherwise(F.raise_error(F.lit(f"no rows under {key}")))
+    each = text.select(F.posexplode(checked).alias("input_pos", "raw"))
+    row = F.when(F.ltrim("raw").startswith("["), F.from_json("raw", "array<string>"))
+    each = each.select(F.col("input_pos").cast("long").alias("input_pos"), row.alias("_r"))
+    good = F.coalesce(F.size("_r") == len(fields), F.lit(False))
+    return each.select("input_pos", *[F.when(good, F.col("_r")[k]).alias(f) for k, f in enumerate(fields)], (~good).alias("skip"))
 
 
 def spelled(item: str, *names: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from graphloom.functions.scalars import dataset_label, safe_part
 from graphloom.functions.text import storage_site
 from graphloom.operators.relational import latest_nested
 from graphloom.sources.projections import edges, nodes, prefixed, together
@@ -84,8 +85,45 @@ def dataset_rows(responses: DataFrame, excluded: tuple[str, ...] = (), column: s
     return rows.select("dataset", F.array_sort(F.array_distinct("elements")).alias("replica_rses"), sites.alias("replica_sites"))
 
 
+def availability_facts(availability: DataFrame, snapshot_date: str) -> tuple[DataFrame, DataFrame]:
+    """Snapshots of sites' test results, hosted by their sites."""
+    snapshot = F.concat(F.lit("monitoring_snapshot:sam:"), "site", F.lit(f":{snapshot_date}"))
+    made = nodes(availability, snapshot, "monitoring_snapshot", "site", "status", "availability_pct", "total_tests", snapshot_date=F.lit(snapshot_date))
+    return made, edges(availability, prefixed("site", "site"), snapshot, "hosts")
+
+
+def compute_facts(compute: DataFrame, snapshot_date: str) -> tuple[DataFrame, DataFrame]:
+    """Snapshots of sites' jobs, hosted by their sites."""
+    snapshot = F.concat(F.lit("monitoring_snapshot:condor:"), "site", F.lit(f":{snapshot_date}"))
+    names = ("site", "total_jobs", "core_hours", "cpu_time_hours", "jobs_running", "jobs_idle", "jobs_held", "cpu_efficiency")
+    made = nodes(compute, snapshot, "monitoring_snapshot", *names, snapshot_date=F.lit(snapshot_date), status_breakdown=F.to_json("status_breakdown"))
+    return made, edges(compute, prefixed("site", "site"), snapshot, "hosts")
+
+
+def transfer_facts(transfers: DataFrame, snapshot_date: str) -> tuple[DataFrame, DataFrame]:
+    """Transfer jobs, hosted by the sites at both ends, and who sends to whom."""
+    job = F.concat_ws(":", F.lit("transfer_job:rucio"), safe_part(F.col("src_site")), safe_part(F.col("dst_site")), F.lit(snapshot_date))
+    ends = F.explode(F.array(F.struct(F.col("src_site").alias("site"), F.lit("transfer_source").alias("role")), F.struct(F.col("dst_site").alias("site"), F.lit("transfer_destination").alias("role")))).alias("_e")
+    held = transfers.select(job.alias("job"), ends).select("job", "_e.site", "_e.role")
+    return (
+        nodes(transfers, job, "transfer_job", "src_site", "dst_site", "done_count", "failed_count", "bytes_total", "top_activity"),
+        together(edges(held, prefixed("site", "site"), F.col("job"), "hosts", role=F.col("role")), edges(transfers, prefixed("site", "src_site"), prefixed("site", "dst_site"), "transfers_to", snapshot_date=F.lit(snapshot_date))),
+    )
+
+
+def replica_facts(datasets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Datasets, the sites and the storage elements that host a replica."""
+    of_site = datasets.select("dataset", F.explode("replica_sites").alias("at"))
+    of_rse = datasets.select("dataset", F.explode("replica_rses").alias("at"))
+    me = prefixed("dataset", "dataset")
+    return (
+        nodes(datasets, me, "dataset", "dataset", label=dataset_label(F.col("dataset")), replica_rses=F.array_join("replica_rses", ","), replica_sites=F.array_join("replica_sites", ",")),
+        together(edges(of_site, prefixed("site", "at"), me, "hosts", relationship=F.lit("dataset_replica")), edges(of_rse, prefixed("se", "at"), me, "hosts", relationship=F.lit("dataset_replica_rse"))),
+    )
+
+
 def monitoring_facts(availability: DataFrame, transfers: DataFrame, datasets: DataFrame, snapshot_date: str) -> tuple[DataFrame, DataFrame]:
-    """Snapshots, transfer jobs and datasets; who hosts what and who sends to whom."""
+    """Snapshots, transfer jobs and datasets together; the links between sites and datasets alone."""
     snapshot = F.concat(F.lit("monitoring_snapshot:sam:"), "site", F.lit(f":{snapshot_date}"))
     job = F.concat_ws(":", F.lit("transfer_job:rucio"), "src_site", "dst_site", F.lit(snapshot_date))
     hosted = datasets.select("dataset", F.explode("replica_sites").alias("site"))

@@ -238,18 +238,22 @@ def issue_facts(issues: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def page_id(repo: Column, path: Column, url: Column) -> Column:
-    """A page's id: its repository and path where known, else a digest of its URL."""
-    placed = F.concat(F.lit("documentation_page:"), slug(repo), F.lit(":"), slug(path))
+def page_id(repo: Column, path: Column, url: Column, make=slug) -> Column:
+    """A page's id: its repository and path where known, made safe by ``make``, else a digest of its URL."""
+    placed = F.concat(F.lit("documentation_page:"), make(repo), F.lit(":"), make(path))
     return F.when((repo != "") & (path != ""), placed).otherwise(F.concat(F.lit("documentation_page:"), digest16(url)))
 
 
-def page_facts(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages (the first of a URL wins), their repositories and what these contain."""
+def page_facts(pages: DataFrame, make=slug) -> tuple[DataFrame, DataFrame]:
+    """Pages (the first of a URL wins), their repositories and what these contain.
+
+    ``make`` is the function by which names become parts of ids; readers of exports keep
+    case, dots and dashes (``scalars.safe_slug``).
+    """
     rows = first_by(pages, ["url"], F.col("input_pos"))
-    me = page_id(F.col("source_repo"), F.col("path"), F.col("url"))
+    me = page_id(F.col("source_repo"), F.col("path"), F.col("url"), make)
     repos = rows.where("source_repo <> ''").select("source_repo").distinct()
-    repo = F.concat(F.lit("software_repository:"), slug(F.col("source_repo")))
+    repo = F.concat(F.lit("software_repository:"), make(F.col("source_repo")))
     return (
         together(nodes(rows, me, "documentation_page", "title", "url", "site_name"), nodes(repos, repo, "software_repository", "source_repo")),
         edges(rows.where("source_repo <> ''"), repo, me, "contains"),

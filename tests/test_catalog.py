@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from graphloom.plans.catalog import ORACLES, QUERIES
+from graphloom.plans.registry import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
