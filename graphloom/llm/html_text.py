@@ -4,7 +4,9 @@ A tolerant parse gives every DOM node its characters, tags, link characters and
 tags.  The composite density of a node is its characters per tag, adjusted by a
 logarithm that falls as links take over.  The node whose children's densities sum
 highest is the text's root; the least density on the path from it to the body is the
-threshold that a part beside it must reach to be taken along.
+threshold that a part beside it must reach to be taken along, and below which blocks of
+links within it are left out.  Where the root lies in an article or main element, that
+element is taken as the text's bounds.
 
 Furniture is left out of the counts and of the text: elements that are never prose, and
 elements whose tag, class, id or role names a menu, header, footer, sidebar, notice,
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -60,6 +63,8 @@ FURNITURE = frozenset(
     "social sponsor sponsored subscribe subscription tags teaser toc toolbar widget widgets".split()
 )
 ARTICLE = frozenset(["article", "main"])
+_PARAGRAPH = frozenset(["p"])
+_RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
 
 
 def main_text(html: str) -> str:
@@ -124,7 +129,9 @@ def main_text(html: str) -> str:
     for k in range(n):
         up = parents[k]
         dense = k not in on_path and up in on_path and density[k] >= threshold and links[k] * 2 < chars[k]
-        kept[k] = not dropped[k] and (k == whole or (k > 0 and kept[up]) or (whole == root and below[k] and dense))
+        # Lists of links stay out of the text that they stand in, too, but for words of a sentence.
+        furniture = tags[k] in BLOCK and density[k] < threshold and links[k] * 2 >= chars[k] > 0
+        kept[k] = not dropped[k] and (k == whole or (k > 0 and kept[up] and not (furniture and k not in on_path)) or (whole == root and below[k] and dense))
     blocks: dict[int, list[str]] = {}
     for node, block, text in chunks:
         if kept[node] or (node in on_path and below[node] and whole == root and not dropped[node]):
@@ -150,25 +157,61 @@ def _density(chars: int, marks: int, links: int, link_marks: int, body_share: fl
     return max(0.0, per_tag * math.log(max(inner, 1.0)) / math.log(max(base, 1.0 + 1e-9))) if base > 1 else per_tag * math.log(max(inner, 1.0))
 
 
+class _Open:
+    """The open elements: a stack with the places of each name in it, so no search walks the stack."""
+
+    def __init__(self):
+        self.nodes, self.names, self.places = [0], ["#root"], {"#root": [0]}
+
+    def push(self, node: int, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self.names.append(name)
+
+    def cut(self, place: int) -> bool:
+        """Close everything from a place on; whether a block was among it.  What is closed is looked at once."""
+        block = False
+        while len(self.nodes) > place:
+            name = self.names.pop()
+            self.nodes.pop()
+            self.places[name].pop()
+            block = block or name in BLOCK
+        return block
+
+    def last(self, name: str) -> int:
+        held = self.places.get(name)
+        return held[-1] if held else -1
+
+    def close(self, closed: frozenset[str]) -> None:
+        """Close from the outermost open element of ``closed`` that no other scope is inside of."""
+        held = [places for name in closed if (places := self.places.get(name))]
+        if held:
+            edge = max(self.last(name) for name in SCOPE - closed)
+            firsts = [places[k] for places in held if (k := bisect_right(places, edge)) < len(places)]
+            if firsts:
+                self.cut(min(firsts))
+
+
 def _parse(html: str):
     """Nodes in document order (parents first), their names, and the text chunks.
 
     A chunk is (node, block, text); a block number ends where a block-level tag begins
-    or ends.  ``names`` holds class, id and role, or None for a hidden element.
+    or ends.  ``names`` holds class, id and role, or None for a hidden element.  The work
+    is in proportion to the page, however many elements stay open.
     """
     tags, parents, names = ["#root"], [0], [""]
     chunks: list[tuple[int, int, str]] = []
-    stack, block, at = [0], 0, 0
+    stack, block, at = _Open(), 0, 0
     size = len(html)
     while at < size:
         lt = html.find("<", at)
         if lt < 0:
-            chunks.append((stack[-1], block, unescape(html[at:])))
+            chunks.append((stack.nodes[-1], block, unescape(html[at:])))
             break
         found = _NODE.match(html, lt)
         if lt > at or not found:
             stop = lt if lt > at else lt + 1
-            chunks.append((stack[-1], block, unescape(html[at:stop])))
+            chunks.append((stack.nodes[-1], block, unescape(html[at:stop])))
             at = stop
             continue
         at = found.end()
@@ -179,32 +222,31 @@ def _parse(html: str):
             continue
         name = name.lower()
         if slash:
-            for depth in range(len(stack) - 1, 0, -1):
-                if tags[stack[depth]] == name:
-                    block += any(tags[k] in BLOCK for k in stack[depth:])
-                    del stack[depth:]
-                    break
+            place = stack.last(name)
+            if place > 0:
+                block += stack.cut(place)
             continue
         if name == "br":
-            chunks.append((stack[-1], block, " "))
+            chunks.append((stack.nodes[-1], block, " "))
         if name in BLOCK:
             block += 1
-            _close(stack, tags, frozenset(["p"]))
+            stack.close(_PARAGRAPH)
         if name in SELF_CLOSING:
-            _close(stack, tags, SELF_CLOSING[name])
-        if name in ("html", "body") and any(tags[k] == name for k in stack):
+            stack.close(SELF_CLOSING[name])
+        if name in ("html", "body") and stack.last(name) >= 0:
             continue
         if name == "body":
-            stack[:] = [k for k in stack if tags[k] in ("#root", "html")]
+            html_at = stack.last("html")
+            stack.cut(max(1, html_at + 1))
         tags.append(name)
-        parents.append(stack[-1])
+        parents.append(stack.nodes[-1])
         if rest and "=" in rest or "hidden" in rest:
             labels = " ".join(m[1] for m in _NAMES.finditer(rest)).lower()
             names.append(None if _HIDDEN.search(rest) else labels)
         else:
             names.append("")
         if name in RAW and not rest.endswith("/"):
-            end = re.compile(f"</{name}(?=[\\s/>])", re.I).search(html, at)
+            end = _RAW_END[name].search(html, at)
             stop = end.start() if end else size
             if name not in ("script", "style"):
                 chunks.append((len(tags) - 1, block, html[at:stop]))
@@ -213,23 +255,10 @@ def _parse(html: str):
                 gt = html.find(">", at)
                 at = gt + 1 if gt >= 0 else size
         elif name not in VOID and not (rest.endswith("/") and name in ("svg", "path", "iframe")):
-            stack.append(len(tags) - 1)
+            stack.push(len(tags) - 1, name)
     return tags, parents, names, chunks
 
 
-def _close(stack: list[int], tags: list[str], closed: frozenset[str]) -> None:
-    """Pop to the outermost open element of ``closed`` before a scope ends the search."""
-    cut = None
-    for depth in range(len(stack) - 1, 0, -1):
-        tag = tags[stack[depth]]
-        if tag in closed:
-            cut = depth
-        elif tag in SCOPE:
-            break
-    if cut is not None:
-        del stack[cut:]
-
-
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     small_batches(pages.sparkSession)
