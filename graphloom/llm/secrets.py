@@ -10,7 +10,8 @@ trigram scans every text.
 The index is keyed by a hash of the text, so copies share their postings, and neither
 null nor repeated doc ids matter; a hash collision adds a candidate and never loses
 one.  Candidates are broadcast while their count is within ``BROADCAST_ROWS`` and
-joined by shuffle beyond.  Null texts are empty.  Offsets are in code points, the end
+joined by shuffle beyond.  Null texts are empty; an empty table stays empty; input columns
+keep their values whatever they are called.  Offsets are in code points, the end
 exclusive; matches of one kind are leftmost and do not overlap; kinds may overlap.
 """
 
@@ -21,11 +22,15 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from graphloom.llm.common import whole_text, written
+from graphloom.llm.common import unused, whole_text, written
 
 BROADCAST_ROWS = 1_000_000
 #: Strings that a part of an expression may expand to before it counts as unknown.
 EXPANSION = 16
+#: Matches of a rule whose places are added up at a time.
+RUN = 128
+#: Letters of the pieces that a long text is cut to before spans are taken out of it.
+PIECE = 4096
 
 
 @dataclass(frozen=True)
@@ -155,14 +160,13 @@ def _candidates(postings: DataFrame, grams: list[str], queries: dict[str, list])
     return held.where(some).select("_h", *[flag.alias(name) for name, flag in flags.items()])
 
 
-def _spans(rule: Rule, kind: int) -> Column:
-    """array<struct<start, kind, end>> of a rule's matches in ``_text``, in one pass over them.
+def _spans(rule: Rule, kind: int, text: Column) -> Column:
+    """array<struct<start, kind, end>> of a rule's matches in a text.
 
     The text is split around the matches; lengths of the gaps and matches, added up in
     order, are the offsets.
     """
     pattern = F.lit(rule.java())
-    text = F.col("_text")
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     tested = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
     gaps = F.split(text, rule.java(), -1)
@@ -179,7 +183,20 @@ def _spans(rule: Rule, kind: int) -> Column:
         one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(part["kept"], F.concat(state["spans"], one)).otherwise(state["spans"]).alias("spans"))
 
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("spans")), add, lambda state: state["spans"])
+    def placed(p: Column) -> Column:
+        """Appending copies what is there, so matches are taken RUN at a time: where each run begins, then its spans."""
+        cuts = F.transform(F.sequence(F.lit(0), F.greatest(F.size(p) - 1, F.lit(0)), F.lit(RUN)), lambda k: F.slice(p, k + 1, F.lit(RUN)))
+        length = F.transform(cuts, lambda c: F.aggregate(c, F.lit(0), lambda x, m: x + m["gap"] + m["n"]))
+        begins = F.aggregate(length, F.array(F.lit(0)), lambda x, n: F.concat(x, F.array(F.element_at(x, -1) + n)))
+        spans = lambda c, at: F.aggregate(c, F.struct(at.alias("at"), none.alias("spans")), add, lambda state: state["spans"])
+        return F.when(F.size(p) <= RUN, spans(p, F.lit(0))).otherwise(F.flatten(F.zip_with(cuts, F.slice(begins, F.lit(1), F.size(cuts)), spans)))
+
+    return _given(parts, placed)
+
+
+def _given(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: lambdas evaluate what stands in them for every element."""
+    return F.transform(F.array(value), use)[0]
 
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "secrets") -> DataFrame:
@@ -193,35 +210,53 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "
     if len(grams) > 62:
         raise ValueError("the rules name more trigrams than one mask holds; scan them in groups")
     indexed = {kind: query for kind, query in queries.items() if query}
-    texts = docs.withColumn("_text", whole_text())
-    candidates = written(_candidates(_index(texts, grams), grams, indexed), "secret-candidates")
+    postings = _index(docs.select(whole_text().alias("_text")), grams)
+    candidates = written(_candidates(postings, grams, indexed), "secret-candidates")
+    text, hashed = unused(docs, "_text"), unused(docs, "_h")
+    flags = {kind: unused(docs, f"_may_{kind}") for kind in indexed}
+    candidates_ = candidates.select(F.col("_h").alias(hashed), *[F.col(f"_may_{kind}").alias(name) for kind, name in flags.items()])
     if candidates.count() <= BROADCAST_ROWS:
-        candidates = F.broadcast(candidates)
-    joined = texts.withColumn("_h", F.xxhash64("_text")).join(candidates, "_h", "left")
+        candidates_ = F.broadcast(candidates_)
+    joined = docs.withColumn(text, whole_text()).withColumn(hashed, F.xxhash64(text)).join(candidates_, hashed, "left")
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     kinds = []
     for k, rule in enumerate(rules):
-        may = F.coalesce(F.col(f"_may_{rule.kind}"), F.lit(False)) if rule.kind in indexed else F.col("_text").rlike(rule.java())
-        kinds.append(F.when(may, _spans(rule, k)).otherwise(none))
-    return joined.withColumn(into, F.array_sort(F.concat(*kinds))).select(*[c for c in docs.columns if c != into], into)
+        may = F.coalesce(F.col(flags[rule.kind]), F.lit(False)) if rule.kind in indexed else F.col(text).rlike(rule.java())
+        kinds.append(F.when(may, _spans(rule, k, F.col(text))).otherwise(none))
+    found = F.array_sort(F.concat(*kinds)).alias(into)
+    return joined.select(*[F.col(c) for c in docs.columns if c.lower() != into.lower()], found)
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every secret of ``text`` replaced by ``mark``; overlapping spans by one mark."""
+    spans = unused(docs, "_secrets")
+
+    def merge(state, span):
+        """Spans by their start: one that begins within the last merged one makes it longer."""
+        last = F.element_at(state, -1)
+        within = (F.size(state) > 0) & (span["start"] < F.coalesce(F.try_element_at(state, F.lit(-1))["end"], F.lit(-1)))
+        longer = F.concat(F.slice(state, F.lit(1), F.size(state) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))))
+        return F.when(within, longer).otherwise(F.concat(state, F.array(F.struct(span["start"].alias("start"), span["end"].alias("end")))))
+
+    def cleaned(text: Column, found: Column) -> Column:
+        """What lies between the spans.  A substring walks from its text's start, so it is taken from a piece near it."""
+        def joined(given: Column) -> Column:
+            def between(a, z):
+                first = F.floor(a / PIECE).cast("int")
+                near = F.slice(given["pieces"], first + 1, F.floor(z / PIECE).cast("int") - first + 1)
+                return F.substring(F.array_join(near, ""), a - first * PIECE + 1, z - a)
+
+            return F.array_join(F.zip_with(given["ends"], given["starts"], between), mark)
+
+        pieces = F.transform(F.sequence(F.lit(0), F.length(text), F.lit(PIECE)), lambda k: F.substring(text, k + 1, F.lit(PIECE)))
+        ends = F.concat(F.array(F.lit(0)), F.transform(found, lambda x: x["end"]))
+        starts = F.concat(F.transform(found, lambda x: x["start"]), F.array(F.length(text)))
+        return _given(F.struct(pieces.alias("pieces"), ends.alias("ends"), starts.alias("starts")), joined)
+
+    merged = F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), merge)
+    found = secret_spans(docs, rules, spans)
     text = F.col("text")
-
-    def step(state, span):
-        apart = span["start"] >= state["at"]
-        kept = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        out = F.when(apart, F.concat(state["out"], kept, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    def end(state):
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
-
-    clean = F.aggregate("_secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, end)
-    found = secret_spans(docs, rules, "_secrets")
-    return found.withColumn("text", F.when(F.size("_secrets") > 0, clean).otherwise(text)).select(*docs.columns)
+    return found.withColumn("text", F.when(F.size(spans) > 0, _given(merged, lambda m: cleaned(text, m))).otherwise(text)).select(*docs.columns)
 
 
 def digest(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE)) -> DataFrame:
