@@ -31,17 +31,19 @@ def _chunk(kind: bytes, body: bytes) -> bytes:
 
 
 def filtered(samples: np.ndarray) -> np.ndarray:
-    """Each row led by its filter: of none, sub and up the one whose residuals are least in sum, the first on ties.
+    """Each row led by its filter: of none, sub and up the one that leaves fewest distinct values, the first on ties.
 
-    Residuals count as signed bytes, as the format's own advice has it.
+    Few values are what deflate codes shortly; the usual least sum of residuals suits
+    gradients and makes text a half longer.  Runs of one sign, repeats of the row above
+    and padding are filtered so, other text is mostly left.
     """
     height, width = samples.shape
     tried = np.empty((3, height, width), np.uint8)
     tried[:] = samples
     tried[1, :, 1:] -= samples[:, :-1]
     tried[2, 1:] -= samples[:-1]
-    sums = np.minimum(tried, -tried).sum(axis=2, dtype=np.int64)
-    kinds = sums.argmin(axis=0).astype(np.uint8)
+    distinct = (np.diff(np.sort(tried, axis=2), axis=2) != 0).sum(axis=2)
+    kinds = distinct.argmin(axis=0).astype(np.uint8)
     return np.concatenate([kinds[:, None], tried[kinds, np.arange(height)]], axis=1)
 
 
