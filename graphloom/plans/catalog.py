@@ -239,12 +239,21 @@ def json_path(t):
     return t("events").select("event_type", keys).groupBy("event_type", "field").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(r"select doc_id, sha256(replace(regexp_replace(regexp_replace(text, '(^|[^a-zA-Z0-9._%+-])git@', '\1git' || chr(1), 'g'), '(?i)\b[a-z0-9._%+-]+@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}\b', '', 'g'), chr(1), '@')) digest from documents")
+_WRITTEN_SQL = r"select doc_id, sha256(replace(regexp_replace(regexp_replace(text, '(^|[^a-zA-Z0-9._%+-])git@', '\1git' || chr(1), 'g'), '(?i)\b[a-z0-9._%+-]+@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}\b', '', 'g'), chr(1), '@')) digest from documents"
+
+
+@query(_WRITTEN_SQL)
 def email_redact(t):
     """The plain written form, as an expression of the engine; ``redact_documents`` knows every form."""
     return t("documents").select("doc_id", F.sha2(T.redact_emails(F.col("text")), 256).alias("digest"))
 
 
+@query(_WRITTEN_SQL)
+def email_redact_all(t):
+    """As ``email_redact``, which read part of the documents before."""
+    return t("documents").select("doc_id", F.sha2(T.redact_emails(F.col("text")), 256).alias("digest"))
+
+
 @query()
 def anonymise(t):
     """Names are a bounded list that the caller gives: here those of the nations."""
