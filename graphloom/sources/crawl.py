@@ -115,3 +115,24 @@ def harvested(pages: DataFrame, records: DataFrame, max_records: int | None = No
 
     kept = first_by(records.where("not deleted"), ["oai_id"], F.col("page"))
     return kept if max_records is None else kept.orderBy("page", "oai_id").limit(max_records)
+
+
+def cookie_verdict(files: DataFrame, domain: str, now: int, max_age: int | None = None) -> DataFrame:
+    """path, cookies, live, expired, fresh and reason of saved cookie files (path, text, modified), without a network.
+
+    Fresh is a file with a cookie of the domain that has not expired, or that lasts for
+    a session, and that is no older than ``max_age`` seconds.
+    """
+    lines = F.filter(F.split("text", r"\r?\n"), lambda x: (F.trim(x) != "") & (~x.startswith("#") | x.startswith("#HttpOnly_")))
+    fields = F.transform(lines, lambda x: F.split(F.regexp_replace(x, r"\A#HttpOnly_", ""), "\t"))
+    broken = F.exists(fields, lambda f: F.size(f) != 7) | ~F.col("text").rlike(r"(?i)\A#.*cookie file")
+    own = F.filter(fields, lambda f: f[0].endswith(domain))
+    ends = F.transform(own, lambda f: f[4].try_cast("long"))
+    session, live = F.size(F.filter(ends, lambda e: e.isNull() | (e == 0))), F.size(F.filter(ends, lambda e: e > now))
+    rows = files.select("path", (F.lit(now) - F.col("modified")).alias("_age"), broken.alias("_broken"), F.size(own).alias("cookies"), (session + live).alias("live"), F.size(F.filter(ends, lambda e: (e != 0) & (e <= now))).alias("expired"))
+    old = F.lit(False) if max_age is None else F.col("_age") > max_age
+    reason = (
+        F.when(F.col("_broken"), "cookie file could not be parsed").when(F.col("cookies") == 0, f"cookie file has no cookies for domain {domain}")
+        .when(F.col("live") == 0, F.concat(F.lit("all "), F.col("cookies").cast("string"), F.lit(" cookies are expired"))).when(old, "cookie file is older than max age").otherwise(F.concat(F.col("live").cast("string"), F.lit(" live cookies")))
+    )
+    return rows.select("path", "cookies", "live", "expired", (~F.col("_broken") & (F.col("live") > 0) & ~old).alias("fresh"), reason.alias("reason"))

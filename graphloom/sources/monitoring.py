@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from graphloom.functions.scalars import dataset_label, safe_part
+from graphloom.functions.scalars import dataset_label, rse_site, safe_part
 from graphloom.functions.text import storage_site
 from graphloom.operators.relational import latest_nested
 from graphloom.sources.projections import edges, nodes, prefixed, together
@@ -152,6 +152,49 @@ def quality(responses: DataFrame, column: str = "payload") -> DataFrame:
     ).withColumn("partial", F.col("timed_out") | F.col("errored") | (F.col("failed_shards") > 0) | (F.col("outside_terms") > 0))
 
 
+# -- flat caches -------------------------------------------------------------------------
+
+
+def _field(name: str, *more: str) -> Column:
+    return F.coalesce(*[F.nullif(F.get_json_object("raw", f"$.{n}"), F.lit("")) for n in (name, *more)])
+
+
+def _whole(name: str) -> Column:
+    return F.coalesce(_field(name).try_cast("double").cast("long"), F.lit(0))
+
+
+def cached_availability(rows: DataFrame, today: str) -> DataFrame:
+    """Availability records of a flat cache (raw); a date that is not given is ``today``."""
+    counts_ = [_whole(c).alias(c) for c in ("total_tests", "ok_count", "warning_count", "critical_count", "unknown_count")]
+    share = F.coalesce(_field("availability_pct").try_cast("double"), F.lit(0.0))
+    return rows.where(_field("site").isNotNull()).select(_field("site").alias("site"), F.coalesce(_field("snapshot_date", "date"), F.lit(today)).alias("snapshot_date"), share.alias("availability_pct"), F.coalesce(_field("status"), F.lit("UNKNOWN")).alias("status"), *counts_)
+
+
+def cached_transfers(rows: DataFrame, today: str) -> DataFrame:
+    """Transfer records of a flat cache (raw), those of one pair of sites and day merged.
+
+    Counts and bytes add, the mean weighs by counts, the first activity stays; a lone
+    record keeps its mean.
+    """
+    each = rows.select(
+        "input_pos", rse_site(F.coalesce(_field("src_site", "src_rse"), F.lit("None"))).alias("src_site"), rse_site(F.coalesce(_field("dst_site", "dst_rse"), F.lit("None"))).alias("dst_site"), F.coalesce(_field("snapshot_date", "date"), F.lit(today)).alias("snapshot_date"),
+        _whole("done_count").alias("done"), _whole("failed_count").alias("failed"), _whole("bytes_total").alias("bytes"), F.coalesce(_field("avg_duration_s").try_cast("double"), F.lit(0.0)).alias("mean"), _field("top_activity").alias("activity"),
+    )
+    weight = F.col("done") + F.col("failed")
+    mean = F.when(F.count(F.lit(1)) == 1, F.min("mean")).otherwise(F.coalesce(F.try_divide(F.sum(F.col("mean") * weight), F.sum(weight)), F.lit(0.0)))
+    first = F.coalesce(F.min_by("activity", F.when(F.col("activity").isNotNull(), F.col("input_pos"))), F.lit(""))
+    return each.groupBy("src_site", "dst_site", "snapshot_date").agg(F.sum("done").alias("done_count"), F.sum("failed").alias("failed_count"), F.sum("bytes").alias("bytes_total"), mean.alias("avg_duration_s"), first.alias("top_activity"))
+
+
+def cached_replicas(rows: DataFrame) -> DataFrame:
+    """dataset, storage elements and sites of a flat cache (raw); without elements, sites stand for them."""
+    texts = lambda n: F.filter(F.coalesce(F.from_json(_field(n), "array<string>"), F.array().cast("array<string>")), lambda x: x != "")
+    made = lambda c, f: F.array_sort(F.array_distinct(F.transform(c, f)))
+    given, sites = made(texts("replica_rses"), safe_part), texts("replica_sites")
+    rses = F.when(F.size(given) > 0, given).otherwise(made(sites, safe_part))
+    return rows.select(_field("dataset").alias("dataset"), rses.alias("replica_rses"), made(F.concat(sites, rses), rse_site).alias("replica_sites"))
+
+
 # -- infrastructure ----------------------------------------------------------------------
 
 

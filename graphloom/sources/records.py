@@ -269,7 +269,7 @@ def timetable(payloads: DataFrame) -> DataFrame:
     no talks.  A talk's session is the title of the outermost block around it.
     """
     entries = "map<string,string>"
-    days = payloads.select("event_id", F.coalesce(F.get_json_object("payload", F.concat(F.lit("$.results['"), F.col("event_id"), F.lit("']"))), F.try_element_at(F.map_values(F.from_json(F.get_json_object("payload", "$.results"), entries)), F.lit(1))).alias("d"))
+    days = payloads.select("event_id", F.coalesce(F.call_function("get_json_object", F.col("payload"), F.concat(F.lit("$.results['"), F.col("event_id"), F.lit("']"))), F.try_element_at(F.map_values(F.from_json(F.get_json_object("payload", "$.results"), entries)), F.lit(1))).alias("d"))
     level = days.select("event_id", F.posexplode(F.map_values(F.from_json("d", entries))).alias("_day", "day"))
     level = level.select("event_id", "_day", F.posexplode(F.map_values(F.from_json("day", entries))).alias("_at", "raw"))
     title = F.trim(_empty(F.get_json_object("raw", "$.title")))
