@@ -134,8 +134,8 @@ def differing(left: DataFrame, right: DataFrame) -> DataFrame:
 def coverage(df: DataFrame, carries: Column, share: float = 0.95) -> DataFrame:
     """How many records carry a signature, their share, and whether it suffices; no records do not."""
     counted = df.agg(F.count(F.lit(1)).alias("records"), F.count_if(carries).alias("carrying"))
-    part = F.try_divide("carrying", "records")
-    return counted.select("records", "carrying", F.round(part, 6).alias("share"), F.coalesce(F.col("carrying") >= F.col("records") * share, F.lit(False)).__and__(F.col("records") > 0).alias("accepted"))
+    enough = (F.col("records") > 0) & (F.col("carrying") >= F.col("records") * share)
+    return counted.select("records", "carrying", F.round(F.try_divide("carrying", "records"), 6).alias("share"), enough.alias("accepted"))
 
 
 def composite(df: DataFrame, keys: list[str], after: tuple | None, size: int, *aggregates: Column) -> DataFrame:

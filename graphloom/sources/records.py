@@ -330,12 +330,13 @@ def talks(contributions: DataFrame, base: str, image_limit: int = 0, max_bytes:
     title = F.when(spoken != "", spoken).when(about != "", F.rtrim(F.substring(about, 1, 80))).otherwise(F.concat(F.lit("Contribution "), "talk_id"))
     when = lambda c: F.concat_ws("T", F.nullif(F.trim(_empty(F.col(f"item.{c}.date"))), F.lit("")), F.nullif(F.trim(_empty(F.col(f"item.{c}.time"))), F.lit("")))
     rows = rows.withColumn("_files", files).withColumn("_people", once)
+    images = F.slice(F.transform(F.filter("_files", lambda f: f["why"].isNull()), lambda f: f["url"]), 1, image_limit)
     url = F.coalesce(F.nullif("item.url", F.lit("")), F.concat(F.lit("/event/"), "event_id", F.lit("/contributions/"), "talk_id", F.lit("/")))
     return rows.select(
         F.concat(F.lit("meeting_minutes:"), "event_id", F.lit(":contribution:"), "talk_id").alias("node_id"), "event_id", "talk_id", title.alias("title"), about.alias("description"), absolute(url, base).alias("url"),
         when("startDate").alias("date"), when("endDate").alias("end_date"), X.field_text(F.col("session")).alias("session"), F.trim(F.substring_index(_empty(F.col("item.room")), " - ", 1)).alias("room"),
         F.transform("_people", lambda p: p["name"]).alias("speakers"), F.transform("_people", lambda p: p["shown"]).alias("shown"), F.transform("_files", lambda f: f["url"]).alias("attachment_urls"),
-        F.transform("_files", lambda f: f["name"]).alias("attachment_names"), F.slice(F.transform(F.filter("_files", lambda f: f["why"].isNull()), lambda f: f["url"]), 1, max(image_limit, 0) or 1).alias("image_urls") if image_limit else F.array().cast("array<string>").alias("image_urls"),
+        F.transform("_files", lambda f: f["name"]).alias("attachment_names"), images.alias("image_urls"),
         F.size(F.filter("_files", lambda f: f["why"] == "url_refused")).alias("images_refused"),
     )
 
