@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from graphloom.llm.common import within
+
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Marks the piece that begins a text: no space leads it.  A text that holds it is irregular.
 FIRST = "\x1e"
@@ -31,12 +33,12 @@ _IRREGULAR = (
     r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 _ENCODERS: dict[tuple, "Encoder"] = {}
-#: What a remembered piece takes beside its letters: two objects and a place in the table.
-ENTRY_BYTES = 180
 #: Ids that are put in place at a time.
 GATHER = 1 << 18
 #: Letters that are given to the library at a time, or one text.
-LETTERS = 1 << 18
+LETTERS = 1 << 16
+#: Bytes of texts that are cut to pieces at a time, or one text.
+SLICE = 8 << 20
 
 
 def vocabulary_path(name: str) -> str:
@@ -57,15 +59,52 @@ def encoder(vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4", markers_as
     return _ENCODERS[key]
 
 
+class Memo:
+    """Pieces and their ids in flat arrays, so that ``most`` bounds the bytes that are really held between batches.
+
+    The table that finds pieces is built anew for each batch: it takes a small part of
+    the batch's time, and nothing when no batch is worked on.
+    """
+
+    def __init__(self, dtype: np.dtype, most: int):
+        self.most, self.batch = most, 0
+        self.pieces, self.ids = pa.array([], pa.string()), np.empty(0, dtype)
+        self.sizes, self.used = np.empty(0, np.int32), np.empty(0, np.int32)
+
+    def held(self) -> int:
+        return self.pieces.nbytes + self.ids.nbytes + self.sizes.nbytes + self.used.nbytes
+
+    def find(self, pieces: pa.Array) -> np.ndarray:
+        """The place of each piece, -1 where it is not remembered."""
+        return pc.fill_null(pc.index_in(pieces, value_set=self.pieces), -1).to_numpy().copy()
+
+    def add(self, pieces: list[str], bodies: list[bytes]) -> None:
+        self.pieces = pa.concat_arrays([self.pieces, pa.array(pieces, pa.string())])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(bodies), self.ids.dtype)])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, bodies), np.int32, len(bodies)) // self.ids.itemsize], dtype=np.int32)
+        self.used = np.concatenate([self.used, np.full(len(bodies), self.batch, np.int32)])
+
+    def next_batch(self) -> None:
+        """Beyond the bound, forget all but half of it, what was used last."""
+        self.batch += 1
+        if self.held() <= self.most:
+            return
+        size = pc.binary_length(self.pieces).to_numpy().astype(np.int64) + self.sizes.astype(np.int64) * self.ids.itemsize + 12
+        latest = np.argsort(-self.used, kind="stable")
+        kept = np.zeros(len(size), bool)
+        kept[latest[np.cumsum(size[latest]) <= self.most // 2]] = True
+        self.ids = self.ids[np.repeat(kept, self.sizes)]
+        self.pieces, self.sizes, self.used = self.pieces.filter(pa.array(kept)), self.sizes[kept], self.used[kept]
+
+
 class Encoder:
     """Encodes texts to little-endian id bytes of the given width (2 or 4).
 
-    ``memo_bytes`` bounds each of two generations of remembered pieces, by an estimate
-    of what a piece and its ids take: when the young one is full it becomes the old
-    one, from which used pieces come back.
+    ``memo_bytes`` bounds the remembered pieces and their ids; a batch may go beyond it
+    while it is worked on.
     """
 
-    def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4", markers_as_text: bool = False, memo_bytes: int = 64 << 20):
+    def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, dtype: str = "<u4", markers_as_text: bool = False, memo_bytes: int = 24 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -83,9 +122,7 @@ class Encoder:
         self.dtype = np.dtype(dtype)
         if self.dtype.itemsize == 2 and self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("this vocabulary needs four-byte ids")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.memo_bytes, self.held = memo_bytes, 0
+        self.memo = Memo(self.dtype, memo_bytes)
 
     def direct(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -98,40 +135,40 @@ class Encoder:
                 first, size = k + 1, 0
         return out
 
-    def _learn(self, pieces: list[str]) -> list[bytes]:
-        """The ids of distinct pieces, each remembered."""
-        if self.held > self.memo_bytes:
-            self.young, self.old, self.held = {}, self.young, 0
-        young, old = self.young, self.old
-        fresh = [w for w in pieces if w not in young]
-        self.held += ENTRY_BYTES * len(fresh) + sum(map(len, fresh))
-        plain, marked = set(), []
-        for w in fresh:
-            if (known := old.get(w)) is not None:
-                young[w] = known
-            elif m := _MARKED(w):
-                marked.append((w, m[1], m[2]))
-            else:
-                plain.add(w)
-        plain.update([core for _, core, _ in marked if core not in young])
-        led = list(plain)
-        first = [w[1:] if w[:1] == FIRST else w if w[:1] == "\n" else " " + w for w in led]
-        young.update(zip(led, self.direct(first)))
-        tails = list({tail for _, _, tail in marked})
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """The places of distinct pieces in the memo, which then holds them all."""
+        memo = self.memo
+        memo.next_batch()
+        at = memo.find(pieces)
+        unknown = at < 0
+        fresh = pieces.filter(pa.array(unknown)).to_pylist()
+        marked = {w: (m[1], m[2]) for w in fresh if (m := _MARKED(w))}
+        bodies: dict[str, bytes] = {w: b"" for w in fresh if w not in marked}
+        cores = list({core for core, _ in marked.values() if core not in bodies})
+        found = memo.find(pa.array(cores, pa.string()))
+        ends = np.cumsum(memo.sizes, dtype=np.int64)
+        known = {core: memo.ids[ends[k] - memo.sizes[k] : ends[k]].tobytes() for core, k in zip(cores, found.tolist()) if k >= 0}
+        bodies.update((core, b"") for core in cores if core not in known)
+        first = [w[1:] if w[:1] == FIRST else w if w[:1] == "\n" else " " + w for w in bodies]
+        bodies.update(zip(list(bodies), self.direct(first)))
+        tails = list({tail for _, tail in marked.values()})
         tail_ids = dict(zip(tails, self.direct(tails)))
-        young.update([(w, young[core] + tail_ids[tail]) for w, core, tail in marked])
-        return [young[w] for w in pieces]
+        bodies |= {w: (known[core] if core in known else bodies[core]) + tail_ids[tail] for w, (core, tail) in marked.items()}
+        place = dict(zip(bodies, range(len(memo.sizes), len(memo.sizes) + len(bodies))))
+        memo.add(list(bodies), list(bodies.values()))
+        at[unknown] = [place[w] for w in fresh]
+        memo.used[at] = memo.batch
+        return at
 
     def _piecewise(self, texts: pa.Array) -> list[bytes]:
         """The ids of regular texts: distinct pieces by the memo, put in place by one gather."""
         led = pc.binary_join_element_wise(FIRST, pc.replace_substring(texts, "\n", " \n"), "")
         parts = pc.split_pattern(led, " ")
         coded = parts.flatten().dictionary_encode()
-        bodies = self._learn(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) // self.dtype.itemsize
-        starts = np.cumsum(sizes) - sizes
+        at = self._learn(coded.dictionary)
+        ids, sizes = self.memo.ids, self.memo.sizes[at].astype(np.int64)
+        starts = np.cumsum(self.memo.sizes, dtype=np.int64)[at] - sizes
         which = coded.indices.to_numpy()
-        ids = np.frombuffer(b"".join(bodies), self.dtype)
         stops = np.cumsum(pc.list_value_length(parts).to_numpy())
         out: list[bytes] = []
         first, row = 0, 0
@@ -150,6 +187,13 @@ class Encoder:
     def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
         """The ids of each text as bytes; an empty text has none."""
         column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        out: list[bytes] = []
+        for part in within(pc.binary_length(column).to_pylist(), SLICE):
+            out += self._encode(column.slice(part.start, part.stop - part.start))
+        pa.default_memory_pool().release_unused()
+        return out
+
+    def _encode(self, column: pa.Array) -> list[bytes]:
         empty = pc.equal(pc.binary_length(column), 0)
         irregular = pc.and_not(pc.match_substring_regex(column, self.whole) if self.by_pieces else pa.array(np.ones(len(column), bool)), empty)
         out: list[bytes] = [b""] * len(column)

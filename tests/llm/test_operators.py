@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -280,6 +283,21 @@ def test_ids_are_the_librarys(markers_as_text):
     assert (50256 in want[-4]) is not markers_as_text
 
 
+def test_remembered_pieces_keep_to_their_bytes():
+    encoder = Encoder(memo_bytes=1 << 20)
+    batches = [[" ".join(f"{'xyz'[j % 3]}{k * 2_000 + j}{'' if j % 2 else ','}" for j in range(2_000)), "seen each time"] for k in range(40)]
+    encoder.encode(["warm up"])
+    arrow, most = pa.total_allocated_bytes(), 0
+    tracemalloc.start()
+    for batch in batches:
+        encoder.encode(batch)
+        gc.collect()
+        most = max(most, tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow)
+    tracemalloc.stop()
+    assert most < 3 << 19, "half as much again as the bound, of objects as they are"
+    assert all(encoder.encode(b) == encoder.direct(b) for b in (batches[-1], batches[0], batches[20]))
+
+
 def test_vocabularies_of_other_kinds_go_to_the_library_whole():
     from tokenizers import Tokenizer
     import public_tokenizers
