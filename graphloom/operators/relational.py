@@ -16,6 +16,18 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high:
     return here.join(at, "_bucket").where(F.col(point).between(F.col(low), F.col(high))).drop("_bucket")
 
 
+def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, rows: int = 250_000) -> DataFrame:
+    """Inner join of two stored tables on a key, dealt out by it so that a task has about ``rows`` rows.
+
+    Both are counted, and the number of tasks follows the count: what one task sorts, or
+    groups by keys that begin with this one, stays the same as the tables grow.  Nothing
+    is broadcast, and such a grouping needs no further shuffle.
+    """
+    tasks = max(left.sparkSession.sparkContext.defaultParallelism, -(-(left.count() + right.count()) // rows))
+    a, b = left.repartition(tasks, left_key), right.repartition(tasks, right_key)
+    return a.join(b.hint("merge"), F.col(left_key) == F.col(right_key))
+
+
 def link(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, edge_type: str, left_id: str = "node_id", right_id: str = "node_id") -> DataFrame:
     """A declared cross-link: an edge for every pair of nodes whose keys agree, never to itself."""
     a = left.select(F.col(left_id).alias("src"), left_key.alias("_key")).where("_key is not null and _key <> ''")

@@ -323,7 +323,7 @@ def composite_aggregation(t):
 
 @table("select o_orderkey issue, l_partkey target, count(*) as chunks from orders join lineitem on o_orderkey = l_orderkey group by all")
 def counted_references(t):
-    joined = t("orders").join(t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    joined = R.spread_join(t("orders"), t("lineitem"), "o_orderkey", "l_orderkey")
     return joined.groupBy(F.col("o_orderkey").alias("issue"), F.col("l_partkey").alias("target")).agg(F.count(F.lit(1)).alias("chunks"))
 
 
