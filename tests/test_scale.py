@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 from pyspark.sql import functions as F
 
+from graphloom.functions import redaction as D
 from graphloom.operators import relational as R
 from graphloom.plans.registry import QUERIES
 
@@ -24,3 +27,18 @@ def test_spread_join_tasks_follow_rows_and_keep_duplicates(spark):
     joined = R.spread_join(left, right, "a", "b", rows=100)
     assert "hashpartitioning(a" in plan(joined) and ", 90)" in plan(joined)
     assert joined.count() == 2999 * 4 and joined.where("a <> b").isEmpty()
+
+
+def test_redaction_takes_few_texts_at_once(spark):
+    got = plan(QUERIES["redact_documents"](spark, SF)) + plan(QUERIES["anonymise"](spark, SF))
+    assert got.count("BatchEvalPython") == 2 and "ArrowEvalPython" not in got
+
+
+def test_spelled_addresses_take_memory_near_the_text():
+    text = "日本語 the text says that nothing hides​ here. " * 20_000 + "mail jd﻿oe[at]cern.ch​ now"
+    tracemalloc.start()
+    got = D.without_spelled(text)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == text.replace("jd﻿oe[at]cern.ch", "")
+    assert most < 20 * len(text)
