@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: What a round may broadcast of nodes.
+_BROADCAST_ROWS = 10_000
+
 
 def edge_id(src: str | Column, edge_type: Column, dst: str | Column) -> Column:
     """The id of a derived edge: a hash of what identifies it."""
@@ -39,18 +42,21 @@ def two_hop_roll_up(parents: DataFrame, children: DataFrame, references: DataFra
 def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """node_id and depth of everything reached from the seeds over (src, dst), each node once.
 
-    One join a depth; visited nodes are anti-joined, so cycles end.  Each round is
-    checkpointed, which cuts the lineage where the cluster keeps its checkpoints.
+    One join a depth; visited nodes are left out, so cycles end.  Each round is
+    checkpointed, which cuts the lineage where the cluster keeps its checkpoints, and
+    counted: only a round of few nodes is broadcast, so the driver holds no more as graphs grow.
+    Found and visited nodes meet in a grouping, as an anti-join would be pushed down to all edges.
     """
     spark = edges.sparkSession
     keep = (lambda df: df.checkpoint()) if spark.sparkContext.getCheckpointDir() else (lambda df: df.persist())
-    visited = seeds.select("node_id").distinct().withColumn("depth", F.lit(0))
-    frontier, depth = keep(visited), 0
-    visited = frontier
-    while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
+    visited = frontier = keep(seeds.select("node_id").distinct().withColumn("depth", F.lit(0)))
+    depth = 0
+    while (max_depth is None or depth < max_depth) and (new := frontier.count()):
         depth += 1
-        found = frontier.join(edges, frontier["node_id"] == edges["src"]).select(F.col("dst").alias("node_id")).distinct()
-        frontier = keep(found.join(visited, "node_id", "left_anti").withColumn("depth", F.lit(depth)))
+        last = F.broadcast(frontier) if new <= _BROADCAST_ROWS else frontier.hint("merge")
+        found = last.join(edges, frontier["node_id"] == edges["src"]).select(F.col("dst").alias("node_id"), F.lit(True).alias("_new"))
+        met = found.unionByName(visited.select("node_id", F.lit(False).alias("_new"))).groupBy("node_id").agg(F.bool_and("_new").alias("_new"))
+        frontier = keep(met.where("_new").select("node_id", F.lit(depth).alias("depth")))
         visited = visited.unionByName(frontier)
     return visited
 

@@ -7,7 +7,7 @@ import tracemalloc
 from pyspark.sql import functions as F
 
 from graphloom.functions import redaction as D
-from graphloom.operators import relational as R
+from graphloom.operators import graph as G, relational as R
 from graphloom.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -42,3 +42,21 @@ def test_spelled_addresses_take_memory_near_the_text():
     tracemalloc.stop()
     assert got == text.replace("jd﻿oe[at]cern.ch", "")
     assert most < 20 * len(text)
+
+
+def test_reachable_broadcasts_only_few_nodes(spark, monkeypatch):
+    plans, frame = [], type(spark.range(0))
+    keep = frame.checkpoint
+
+    def recorded(df, *args):
+        out = keep(df, *args)
+        plans.append(plan(df))
+        return out
+
+    monkeypatch.setattr(frame, "checkpoint", recorded)
+    wide = 2 * G._BROADCAST_ROWS
+    ids = spark.range(1, wide + 1)
+    edges = ids.selectExpr("'n0' src", "'n' || id dst").unionByName(ids.selectExpr("'n' || id src", f"'n' || (id + {wide}) dst")).unionByName(ids.selectExpr("'n' || id src", "'n0' dst"))
+    got = G.reachable(edges, spark.range(1).selectExpr("'n0' node_id"))
+    assert {r.depth: r["count"] for r in got.groupBy("depth").count().collect()} == {0: 1, 1: wide, 2: wide}
+    assert ["Broadcast" in p for p in plans] == [False, True, False, False]
